@@ -8,45 +8,57 @@ from pyspark.sql import Column, functions as F
 _MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 
 
-def _date(year: Column, month: Column, day: Column) -> Column:
-    text = F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0"))
-    return F.when(year != "0000", text.try_cast("date"))
+_ISO = r"r'^\d{4}-\d{1,2}-\d{1,2}\z'"
+_ISO_STRICT = r"r'^\d{4}-\d{2}-\d{2}\z'"
+_SLASH = r"r'^(\d{1,2})/(\d{1,2})/(\d{4})\z'"
+_STAMP = r"r'^(\d{4}-\d{1,2}-\d{1,2})[T ]([01]?\d|2[0-3]):[0-5]?\d:[0-5]?\d\z'"
+_WEB = r"r'^[A-Za-z]{3} \d{1,2}, \d{4}\z'"
+_TILL = r"r'^\d{1,2}-[A-Za-z]{3}-\d{4}\z'"
+
+
+def _month_sql(name: str) -> str:
+    return f"CASE lower({name}) " + " ".join(f"WHEN '{m}' THEN '{i}'" for i, m in enumerate(_MONTHS, 1)) + " END"
+
+
+def _as_iso_sql(x: str, source: str) -> str:
+    """The date text of a channel turned into year-month-day; other texts stay as they are."""
+    web_day = f"split_part(split_part({x}, ' ', 2), ',', 1)"
+    web = f"concat_ws('-', right({x}, 4), {_month_sql(f'left({x}, 3)')}, {web_day})"
+    till_month = _month_sql(f"split_part({x}, '-', 2)")
+    till = f"concat_ws('-', right({x}, 4), {till_month}, split_part({x}, '-', 1))"
+    return (
+        f"CASE {source} WHEN 'website' THEN CASE WHEN {x} RLIKE {_WEB} THEN {web} ELSE regexp_replace({x}, {_STAMP}, '$1') END "
+        f"WHEN 'offline' THEN CASE WHEN {x} RLIKE {_TILL} THEN {till} ELSE {x} END "
+        f"WHEN 'shopee' THEN regexp_replace({x}, {_SLASH}, '$3-$2-$1') "
+        f"WHEN 'tokopedia' THEN regexp_replace({x}, {_SLASH}, '$3-$2-$1') ELSE {x} END"
+    )
 
 
-def _by_pattern(value: Column, pattern: str, year: int, month: int, day: int, named_month=False) -> Column:
-    """Date from the regex groups; null when the text does not match or no such day exists."""
-    part = lambda i: F.regexp_extract(value, pattern, i)
-    month_text = part(month)
-    if named_month:
-        table = F.create_map(*[F.lit(x) for i, m in enumerate(_MONTHS, 1) for x in (m, str(i))])
-        month_text = table[F.lower(month_text)]
-    return F.when(value.rlike(pattern), _date(part(year), month_text, part(day)))
+def _value_sql(iso: str, pattern: str) -> str:
+    return f"CASE WHEN {iso} RLIKE {pattern} AND NOT startswith({iso}, '0000') THEN try_cast({iso} AS DATE) END"
 
 
-_ISO = r"^(\d{4})-(\d{1,2})-(\d{1,2})\z"
-_SLASH = r"^(\d{1,2})/(\d{1,2})/(\d{4})\z"
-_CLOCK = r"([01]?\d|2[0-3]):[0-5]?\d:[0-5]?\d"
-_STAMP = rf"^(\d{{4}})-(\d{{1,2}})-(\d{{1,2}})[T ]{_CLOCK}\z"
-_WEB = r"^([A-Za-z]{3}) (\d{1,2}), (\d{4})\z"
-_TILL = r"^(\d{1,2})-([A-Za-z]{3})-(\d{4})\z"
+def iso_date(cleaned: str) -> Column:
+    """Strict ``yyyy-MM-dd``; null otherwise."""
+    return F.expr(_value_sql(cleaned, _ISO_STRICT))
 
 
-def iso_date(cleaned: Column) -> Column:
-    """Strict ``yyyy-MM-dd``; null otherwise."""
-    return _by_pattern(cleaned, r"^(\d{4})-(\d{2})-(\d{2})\z", 1, 2, 3)
+def date_sql(cleaned: str, source: str) -> str:
+    """Date of a cleaned text under the formats of its channel; null when there is no such day."""
+    return _value_sql(_as_iso_sql(cleaned, source), _ISO)
 
 
-def parse_date(cleaned: Column, source) -> Column:
-    """struct(value, error) of a cleaned text date under the formats of its channel."""
-    source = F.lit(source) if isinstance(source, str) else source
-    value = F.coalesce(
-        F.when(source == "website", F.coalesce(_by_pattern(cleaned, _STAMP, 1, 2, 3), _by_pattern(cleaned, _WEB, 3, 1, 2, True))),
-        F.when(source == "offline", _by_pattern(cleaned, _TILL, 3, 2, 1, True)),
-        _by_pattern(cleaned, _ISO, 1, 2, 3),
-        F.when(source.isin("shopee", "tokopedia"), _by_pattern(cleaned, _SLASH, 3, 2, 1)),
-    )
-    error = F.when(cleaned.isNull(), "MISSING_REQUIRED").when(value.isNull(), "INVALID_DATE")
-    return F.struct(value.alias("value"), error.alias("error"))
+def parse_date(cleaned: str, source: str) -> Column:
+    """``source`` is the SQL text of the channel key: a column name or a quoted literal."""
+    return F.expr(date_sql(cleaned, source))
+
+
+def date_error_sql(cleaned: str, value: str) -> str:
+    return f"CASE WHEN {cleaned} IS NULL THEN 'MISSING_REQUIRED' WHEN {value} IS NULL THEN 'INVALID_DATE' END"
+
+
+def date_error(cleaned: str, value: str) -> Column:
+    return F.expr(date_error_sql(cleaned, value))
 
 
 def calendar_columns(day: Column) -> dict[str, Column]:

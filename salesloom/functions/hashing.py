@@ -34,11 +34,12 @@ def record_hash(columns) -> Column:
     return F.sha2(F.to_json(F.struct(*parts)), 256)
 
 
-def signature_columns(columns) -> dict[str, Column]:
-    """Two independent 64-bit hashes of a row, nulls distinct from every text.
+def signature_columns(columns) -> list[str]:
+    """SQL of two independent 64-bit hashes of a row, nulls distinct from every text.
 
     Versions of one key are compared by them: fixed-width buffers keep the
     per-key min/max in hash aggregation.
     """
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\u0000null")) for c in columns]
-    return {"_sig_a": F.xxhash64(*parts), "_sig_b": F.xxhash64(F.lit("second"), *reversed(parts))}
+    parts = [f"coalesce(CAST(`{c}` AS STRING), '\\u0000null')" for c in columns]
+    backwards = ", ".join(reversed(parts))
+    return [f"xxhash64({', '.join(parts)}) AS _sig_a", f"xxhash64('second', {backwards}) AS _sig_b"]

@@ -1,7 +1,9 @@
-"""Exact number rules: text in, struct(value, error) out.
+"""Exact number rules: cleaned text in, struct(raw, error) out.
 
 Range and precision are judged on the digits of the text, so a value with more
-decimals than a Spark decimal can hold is still refused instead of rounded.
+decimals than a Spark decimal can hold is refused instead of rounded. The
+common plain notation takes one pattern and one cast; signs, exponents, ``_``
+and extra zeros take the general rules in the other branch.
 """
 
 from __future__ import annotations
@@ -10,84 +12,108 @@ from pyspark.sql import Column, functions as F
 
 from salesloom.contracts import INT_MAX, MONEY_MAX
 
-_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\z"
-_ZERO = r"^[+-]?[0.]+([eE][+-]?\d+)?\z"
-_TWO_DECIMALS = r"^[+-]?\d*(\.\d{0,2}0*)?\z"
-_WHOLE = r"^[+-]?\d*(\.0*)?\z"
-_WIDE = "decimal(38,18)"
-
-
-class _Parsed:
-    """Reusable tests on one cleaned text column."""
-
-    def __init__(self, cleaned: Column):
-        self.missing = cleaned.isNull()
-        self.text = F.regexp_replace(cleaned, "_", "")
-        self.is_number = self.text.rlike(_NUMBER)
-        self.is_zero = self.text.rlike(_ZERO)
-        self.is_negative = self.text.startswith("-") & ~self.is_zero
-        self.wide = self.text.try_cast(_WIDE)
-        exponent = self.text.rlike("[eE]")
-        self.two_decimals = F.when(
-            exponent, self.is_zero | ((self.wide != 0) & (self.wide == F.round(self.wide, 2)))
-        ).otherwise(self.text.rlike(_TWO_DECIMALS))
-        self.whole = F.when(exponent, (self.wide != 0) & (self.wide == F.floor(self.wide))).otherwise(
-            self.text.rlike(_WHOLE)
+_PLAIN_MONEY = r"r'^\d{1,9}(\.\d{1,2})?\z'"
+_PLAIN_INTEGER = r"r'^\d{1,9}\z'"
+
+
+class _General:
+    """SQL tests on a cleaned text in any accepted notation."""
+
+    def __init__(self, x: str):
+        self.text = f"replace({x}, '_', '')"
+        t = self.text
+        self.is_number = rf"{t} RLIKE r'^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\z'"
+        self.is_zero = rf"{t} RLIKE r'^[+-]?[0.]+([eE][+-]?\d+)?\z'"
+        self.is_negative = f"(startswith({t}, '-') AND NOT {self.is_zero})"
+        self.wide = f"try_cast({t} AS DECIMAL(38,18))"
+        w = self.wide
+        self.two_decimals = (
+            f"CASE WHEN {t} RLIKE '[eE]' THEN {self.is_zero} OR ({w} <> 0 AND {w} = round({w}, 2)) "
+            rf"ELSE {t} RLIKE r'^[+-]?\d*(\.\d{{0,2}}0*)?\z' END"
+        )
+        self.whole = (
+            f"CASE WHEN {t} RLIKE '[eE]' THEN {w} <> 0 AND {w} = floor({w}) ELSE {t} RLIKE " + r"r'^[+-]?\d*(\.0*)?\z' END"
         )
 
-    def within(self, limit) -> Column:
-        return self.is_zero | F.coalesce(self.wide <= F.lit(limit).cast(_WIDE), F.lit(False))
+    def within(self, limit) -> str:
+        return f"({self.is_zero} OR coalesce({self.wide} <= CAST('{limit}' AS DECIMAL(38,18)), false))"
 
 
-def _result(value: Column, error: Column) -> Column:
-    return F.struct(F.when(error.isNull(), value).alias("value"), error.alias("error"))
+def _struct(raw: str, error: str) -> str:
+    return f"named_struct('raw', {raw}, 'error', {error})"
 
 
-def positive_money(cleaned: Column) -> Column:
-    """Required positive money with two exact decimals, up to the money limit."""
-    p = _Parsed(cleaned)
+def _positive(x: str, plain: str, kind: str, shape_error: str, limit, shape: str, g: _General) -> str:
+    value = f"try_cast({x} AS {kind})"
     error = (
-        F.when(p.missing, "MISSING_REQUIRED")
-        .when(~p.is_number, "INVALID_NUMBER")
-        .when(p.is_zero | p.is_negative, "NON_POSITIVE")
-        .when(~p.within(MONEY_MAX) | ~p.two_decimals, "INVALID_MONEY_PRECISION_OR_RANGE")
+        f"CASE WHEN {x} IS NULL THEN 'MISSING_REQUIRED' "
+        f"WHEN {x} RLIKE {plain} THEN CASE WHEN {value} = 0 THEN 'NON_POSITIVE' END "
+        f"WHEN NOT {g.is_number} THEN 'INVALID_NUMBER' WHEN {g.is_zero} OR {g.is_negative} THEN 'NON_POSITIVE' "
+        f"WHEN NOT {g.within(limit)} OR NOT ({shape}) THEN '{shape_error}' END"
     )
-    return _result(p.wide.try_cast("decimal(14,2)"), error)
+    raw = f"CASE WHEN {x} RLIKE {plain} THEN {value} ELSE try_cast({g.wide} AS {kind}) END"
+    return _struct(raw, error)
 
 
-def positive_integer(cleaned: Column) -> Column:
-    """Required positive integer (``2.0`` is accepted) up to 2147483647."""
-    p = _Parsed(cleaned)
-    error = (
-        F.when(p.missing, "MISSING_REQUIRED")
-        .when(~p.is_number, "INVALID_NUMBER")
-        .when(p.is_zero | p.is_negative, "NON_POSITIVE")
-        .when(~p.within(INT_MAX) | ~p.whole, "INVALID_INTEGER")
-    )
-    return _result(p.wide.try_cast("int"), error)
+def money_sql(x: str) -> str:
+    """Required positive money with two exact decimals, up to the money limit (D3)."""
+    g = _General(x)
+    return _positive(x, _PLAIN_MONEY, "DECIMAL(14,2)", "INVALID_MONEY_PRECISION_OR_RANGE", MONEY_MAX, g.two_decimals, g)
 
 
-def nonnegative_money(cleaned: Column, limit: str = MONEY_MAX, scale: str = "decimal(16,2)") -> Column:
-    """Optional money: missing counts as 0.00, negatives are refused."""
-    p = _Parsed(cleaned)
+def integer_sql(x: str) -> str:
+    """Required positive integer (``2.0`` is accepted) up to 2147483647 (D3)."""
+    g = _General(x)
+    return _positive(x, _PLAIN_INTEGER, "INT", "INVALID_INTEGER", INT_MAX, g.whole, g)
+
+
+def nonnegative_sql(x: str, limit: str = MONEY_MAX, kind: str = "DECIMAL(16,2)") -> str:
+    """Optional money: missing counts as 0.00, negatives are refused."""
+    g = _General(x)
     error = (
-        F.when(p.missing, F.lit(None).cast("string"))
-        .when(~p.is_number, "INVALID_NUMBER")
-        .when(p.is_negative, "NEGATIVE_AMOUNT")
-        .when(~p.within(limit) | ~p.two_decimals, "INVALID_MONEY_PRECISION_OR_RANGE")
+        f"CASE WHEN {x} IS NULL OR {x} RLIKE {_PLAIN_MONEY} THEN CAST(NULL AS STRING) "
+        f"WHEN NOT {g.is_number} THEN 'INVALID_NUMBER' WHEN {g.is_negative} THEN 'NEGATIVE_AMOUNT' "
+        f"WHEN NOT {g.within(limit)} OR NOT ({g.two_decimals}) THEN 'INVALID_MONEY_PRECISION_OR_RANGE' END"
+    )
+    raw = (
+        f"CASE WHEN {x} IS NULL THEN CAST(0 AS {kind}) WHEN {x} RLIKE {_PLAIN_MONEY} THEN try_cast({x} AS {kind}) "
+        f"WHEN {g.is_zero} THEN CAST(0 AS {kind}) ELSE try_cast({g.wide} AS {kind}) END"
     )
-    zero = F.lit(0).cast(scale)
-    return _result(F.when(p.missing | p.is_zero, zero).otherwise(p.wide.try_cast(scale)), error)
+    return _struct(raw, error)
+
+
+def accepted_sql(parsed: str) -> str:
+    """Value of a parsed number, null where its rule failed."""
+    return f"CASE WHEN {parsed}.error IS NULL THEN {parsed}.raw END"
+
+
+def line_sql(x: str) -> str:
+    """Decimal digits only, 1 to 2147483647; null otherwise."""
+    return rf"CASE WHEN {x} RLIKE r'^\d+\z' AND try_cast({x} AS INT) > 0 THEN try_cast({x} AS INT) END"
+
+
+def positive_money(cleaned: str) -> Column:
+    return F.expr(money_sql(cleaned))
+
+
+def positive_integer(cleaned: str) -> Column:
+    return F.expr(integer_sql(cleaned))
+
+
+def nonnegative_money(cleaned: str, limit: str = MONEY_MAX, kind: str = "DECIMAL(16,2)") -> Column:
+    return F.expr(nonnegative_sql(cleaned, limit, kind))
+
+
+def accepted(parsed: str) -> Column:
+    return F.expr(accepted_sql(parsed))
 
 
-def line_number(cleaned: Column) -> Column:
-    """Decimal digits only, 1 to 2147483647; null otherwise."""
-    value = F.when(cleaned.rlike(r"^\d+\z"), cleaned.try_cast("int"))
-    return F.when(value > 0, value)
+def line_number(cleaned: str) -> Column:
+    return F.expr(line_sql(cleaned))
 
 
 def ratio_pct(part: Column, whole: Column) -> Column:
-    """``ROUND(100 * part / NULLIF(whole, 0), 2)``; null when there is no whole."""
+    """``ROUND(100 * part / NULLIF(whole, 0), 2)``; null when there is no whole."""
     exact = 100 * part.cast("decimal(24,2)") / F.nullif(whole.cast("decimal(24,2)"), F.lit(0).cast("decimal(24,2)"))
     return F.round(exact, 2)
 
@@ -98,7 +124,7 @@ def safe_ratio(part: Column, whole: Column) -> Column:
 
 
 def promo_discount(kind: Column, value: Column, gross: Column) -> Column:
-    """Percentage of gross (half-up cents) or a fixed amount, never above gross."""
+    """Percentage of gross (half-up cents) or a fixed amount, never above gross."""
     percentage = F.round(gross * value / 100, 2).cast("decimal(16,2)")
     granted = F.least(F.when(kind == "percentage", percentage).otherwise(value.cast("decimal(16,2)")), gross)
     return F.when(kind.isNotNull(), granted)  # least() skips nulls

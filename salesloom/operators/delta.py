@@ -52,7 +52,7 @@ def changed_returns(
     keyed = marked.withColumns(
         {
             "_s": text.channel_code("source_name"), "_i": text.clean_text("return_id"),
-            "_l": numbers.line_number(text.clean_text("return_line_number")),
+            "_l": numbers.line_number(text.unmarked_sql(text.tidy_sql("return_line_number"))),
         }
     )
     stale = stale_keys.select(
@@ -102,7 +102,7 @@ def snapshot_keys(rows: DataFrame) -> DataFrame:
     order, line = text.clean_text("order_id"), text.clean_text("line_number")
     keyed = rows.select("source", order.alias("source_order_id"), line.alias("_line"))
     digits = F.coalesce(F.col("_line").rlike(r"^\d+\z"), F.lit(False))
-    number = numbers.line_number(F.col("_line"))
+    number = numbers.line_number("_line")
     problem = F.when(F.col("source_order_id").isNull() | ~digits, "key").when(number.isNull(), "range")
     return keyed.select(
         "source", "source_order_id", number.alias("source_line_number"), problem.alias("key_problem")
@@ -208,7 +208,7 @@ def return_corrections(rejected: DataFrame, return_facts: DataFrame) -> DataFram
     patterns = rejected.select(
         F.when(source.isin(*C.CHANNEL_CODES), source).alias("_p_source"),
         F.trim("return_id").alias("_p_id"),
-        numbers.line_number(F.trim("return_line_number")).alias("_p_line"),
+        numbers.line_number("trim(return_line_number)").alias("_p_line"),
         "source_row_number", "rejection_reason",
     ).where(F.col("_p_id") != "")
     combined = patterns.groupBy("_p_source", "_p_id", "_p_line").agg(

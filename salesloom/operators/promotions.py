@@ -15,19 +15,19 @@ def read_catalogue(rows: DataFrame, unicode: bool = True, hot_rows: int = HOT_RO
     Codes with differing content get reason ``conflicting_code`` on every
     version; ``is_first`` marks the version kept of identical duplicates.
     """
-    cleaned = {c: text.clean_text(c, unicode) for c in C.PROMO_COLUMNS}
-    staged = rows.select("source_row_number", *[v.alias(f"_c_{c}") for c, v in cleaned.items()]).withColumns(
+    staged = text.with_clean_text(rows.select("source_row_number", *C.PROMO_COLUMNS), {f"_c_{c}": c for c in C.PROMO_COLUMNS}, unicode)
+    staged = staged.withColumns(
         {
             "promo_code": F.upper("_c_promo_code"),
             "promo_name": F.col("_c_promo_name"),
             "discount_type": F.lower("_c_discount_type"),
-            "_value": numbers.positive_money(F.col("_c_discount_value")),
-            "start_date": dates.parse_date(F.col("_c_start_date"), "shopee")["value"],
-            "end_date": dates.parse_date(F.col("_c_end_date"), "shopee")["value"],
+            "_value": numbers.positive_money("_c_discount_value"),
+            "start_date": dates.parse_date("_c_start_date", "'shopee'"),
+            "end_date": dates.parse_date("_c_end_date", "'shopee'"),
             "status": F.lower("_c_status"),
         }
     )
-    staged = staged.withColumn("discount_value", F.col("_value.value").cast("decimal(16,2)"))
+    staged = staged.withColumn("discount_value", numbers.accepted("_value").cast("decimal(16,2)"))
     present = F.col("promo_code").isNotNull() & F.col("promo_name").isNotNull()
     reason = (
         F.when(~present | ~F.coalesce(F.col("discount_type").isin(*C.PROMO_KINDS), F.lit(False)), "code_name_or_type")

@@ -41,33 +41,29 @@ def canonical_rows(native: DataFrame, channel: str) -> DataFrame:
     return native.select(*lineage, *extra, *picked)
 
 
-def native_name(canonical: str) -> Column:
+def native_name_sql(canonical: str) -> str:
     """Native column name of a canonical field in the row's channel."""
     if canonical in C.OPTIONAL_FIELDS:
-        return F.lit(canonical)
-    result = F.lit(canonical)
-    for key, contract in C.CHANNELS.items():
-        if canonical in contract.fields:
-            result = F.when(F.col("source") == key, contract.fields[canonical]).otherwise(result)
-    return result
+        return f"'{canonical}'"
+    cases = " ".join(f"WHEN '{k}' THEN '{c.fields[canonical]}'" for k, c in C.CHANNELS.items() if canonical in c.fields)
+    return f"CASE source {cases} ELSE '{canonical}' END"
 
 
-def _has_field(canonical: str) -> Column:
-    return F.col("source").isin(*[k for k, c in C.CHANNELS.items() if canonical in c.fields])
+def _has_field_sql(canonical: str) -> str:
+    return "source IN (" + ", ".join(f"'{k}'" for k, c in C.CHANNELS.items() if canonical in c.fields) + ")"
 
 
-def _issue(condition: Column, rule, field: Column, raw: Column, severity: str = "ERROR") -> Column:
-    rule = F.lit(rule) if isinstance(rule, str) else rule
-    entry = F.struct(
-        F.lit(severity).alias("severity"), rule.alias("rule"), field.alias("field"),
-        raw.cast("string").alias("raw_value"),
-    )
-    return F.when(condition, entry)
+def _issue_sql(condition: str, rule: str, field: str, raw: str, severity: str = "ERROR") -> str:
+    """Finding of one rule; ``rule`` and ``field`` are SQL text."""
+    entry = f"named_struct('severity', '{severity}', 'rule', {rule}, 'field', {field}, 'raw_value', CAST({raw} AS STRING))"
+    return f"CASE WHEN {condition} THEN {entry} END"
+
+
+def _issues_sql(checks) -> str:
+    return "array_compact(array(" + ", ".join(checks) + "))"
 
 
-def _error_texts(issues: Column) -> Column:
-    errors = F.filter(issues, lambda i: i["severity"] == "ERROR")
-    return F.transform(errors, lambda i: F.concat(i["field"], F.lit(":"), i["rule"]))
+_ERRORS_SQL = "transform(filter(issues, i -> i.severity = 'ERROR'), i -> concat(i.field, ':', i.rule))"
 
 
 # --------------------------------------------------------------- product map
@@ -123,108 +119,76 @@ def apply_sales_rules(
     rows: DataFrame, lookup: DataFrame, unicode: bool = True, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Typed canonical columns and the row-level issues."""
-    keep = list(C.LINEAGE) + [c for c in ("raw_payload", "payload_hash") if c in rows.columns]
-    staged = rows.select(
-        *keep,
-        *[F.col(f).alias(f"_r_{f}") for f in C.CANONICAL_FIELDS],
-        *[text.clean_text(f, unicode).alias(f"_c_{f}") for f in C.CANONICAL_FIELDS],
+    keep = [*C.LINEAGE, *[c for c in ("raw_payload", "payload_hash") if c in rows.columns]]
+    staged = rows.selectExpr(*keep, *[f"`{f}` AS _r_{f}" for f in C.CANONICAL_FIELDS])
+    staged = text.with_clean_text(staged, {f"_c_{f}": f"_r_{f}" for f in C.CANONICAL_FIELDS}, unicode)
+    has_total = _has_field_sql("source_total_amount")
+    staged = staged.selectExpr(
+        "*",
+        f"{numbers.line_sql('_c_line_number')} AS line_number",
+        f"{dates.date_sql('_c_order_date', 'source')} AS order_date",
+        f"{numbers.integer_sql('_c_quantity')} AS _qty",
+        f"{numbers.money_sql('_c_unit_price')} AS _price",
+        f"{numbers.nonnegative_sql('_c_discount_amount')} AS _disc",
+        f"CASE WHEN {has_total} THEN {numbers.money_sql('_c_source_total_amount')} END AS _total",
+        f"{text.email_sql('_c_customer_email')} AS _email_ok",
+        f"{text.known_payment_sql('_c_payment_method', unicode)} AS _known_payment",
     )
-    staged = staged.withColumns(
-        {
-            "_line": numbers.line_number(F.col("_c_line_number")),
-            "_date": dates.parse_date(F.col("_c_order_date"), F.col("source")),
-            "_qty": numbers.positive_integer(F.col("_c_quantity")),
-            "_price": numbers.positive_money(F.col("_c_unit_price")),
-            "_disc": numbers.nonnegative_money(F.col("_c_discount_amount")),
-            "_total": F.when(_has_field("source_total_amount"), numbers.positive_money(F.col("_c_source_total_amount"))),
-            "_email_ok": text.valid_email("_c_customer_email"),
-        }
-    )
-    payment, payment_unknown = text.canonical_payment(F.col("_c_payment_method"), unicode)
-    staged = staged.withColumns({"_pay": payment, "_pay_unknown": payment_unknown})
     staged = map_products(staged, lookup, "_c_product_input", ["source", "source_row_number"], hot_rows)
-    gross = (F.col("_qty.value") * F.col("_price.value")).cast("decimal(24,2)")
-    discount = F.col("_disc.value")
-    typed = staged.withColumns(
-        {
-            "order_id": F.col("_c_order_id"),
-            "line_number": F.col("_line"),
-            "order_date": F.col("_date.value"),
-            "quantity": F.col("_qty.value"),
-            "unit_price": F.col("_price.value"),
-            "gross_amount": gross,
-            "discount_amount": discount,
-            "net_amount": F.when(discount <= gross, (gross - discount).cast("decimal(24,2)")),
-            "promo_code": F.upper("_c_promo_code"),
-            "source_total_amount": F.col("_total.value").cast("decimal(16,2)"),
-            "customer_name": F.col("_c_customer_name"),
-            "customer_email": F.when(F.col("_email_ok"), F.col("_c_customer_email")),
-            "customer_city": text.canonical_city(F.col("_c_customer_city"), unicode),
-            "store_name": F.col("_c_store_name"),
-            "store_city": text.canonical_city(F.col("_c_store_city"), unicode),
-            "payment_method": F.col("_pay"),
-            "status": F.upper(F.coalesce("_c_status", F.lit(""))),
-        }
+    staged = staged.selectExpr(
+        "*", f"{numbers.accepted_sql('_qty')} AS quantity", f"{numbers.accepted_sql('_price')} AS unit_price",
+        f"{numbers.accepted_sql('_disc')} AS discount_amount",
+        f"CAST({numbers.accepted_sql('_total')} AS DECIMAL(16,2)) AS source_total_amount",
+    ).selectExpr("*", "CAST(quantity * unit_price AS DECIMAL(24,2)) AS gross_amount")
+    typed = staged.selectExpr(
+        "*",
+        "_c_order_id AS order_id", "_c_customer_name AS customer_name", "_c_store_name AS store_name",
+        "CASE WHEN discount_amount <= gross_amount THEN CAST(gross_amount - discount_amount AS DECIMAL(24,2)) END AS net_amount",
+        "upper(_c_promo_code) AS promo_code", "CASE WHEN _email_ok THEN _c_customer_email END AS customer_email",
+        f"{text.city_sql('_c_customer_city', unicode)} AS customer_city", f"{text.city_sql('_c_store_city', unicode)} AS store_city",
+        "coalesce(_known_payment, _c_payment_method) AS payment_method", "upper(coalesce(_c_status, '')) AS status",
     )
-    raw = lambda f: F.col(f"_r_{f}")
-    checks = [
-        _issue(F.col("_line").isNull(), "INVALID_LINE_NUMBER", native_name("line_number"), raw("line_number")),
-        _issue(F.col("order_id").isNull(), "MISSING_REQUIRED", native_name("order_id"), raw("order_id")),
-    ]
-    for field, parsed in (("order_date", "_date"), ("quantity", "_qty"), ("unit_price", "_price")):
-        error = F.col(f"{parsed}.error")
-        checks.append(_issue(error.isNotNull(), error, native_name(field), raw(field)))
-    status = F.col("status")
-    mapped = F.col("sku").isNotNull()
-    has_product = F.col("_c_product_input").isNotNull()
-    total, total_error = F.col("source_total_amount"), F.col("_total.error")
-    checks += [
-        _issue(status == "", "MISSING_REQUIRED", native_name("status"), raw("status")),
-        _issue((status != "") & ~status.isin(*C.SALE_STATUSES), "INVALID_STATUS", native_name("status"), raw("status")),
-        _issue(~has_product, "MISSING_REQUIRED", native_name("product_input"), raw("product_input")),
-        _issue(has_product & ~mapped, "UNMAPPED_PRODUCT", native_name("product_input"), raw("product_input")),
-        _issue(
-            mapped & (F.col("unit_price") != F.col("master_price")),
-            "PRICE_DIFFERS_FROM_MASTER", native_name("unit_price"), raw("unit_price"), "WARNING",
-        ),
-        _issue(F.col("_disc.error").isNotNull(), F.col("_disc.error"), F.lit("discount_amount"), raw("discount_amount")),
-        _issue(discount > gross, "DISCOUNT_EXCEEDS_GROSS", F.lit("discount_amount"), raw("discount_amount")),
-        _issue(total_error.isNotNull(), total_error, native_name("source_total_amount"), raw("source_total_amount")),
-        _issue(
-            total.isNotNull() & F.col("gross_amount").isNotNull() & (total != F.col("gross_amount"))
-            & ~total.eqNullSafe(F.col("net_amount")),
-            "AMOUNT_MISMATCH", native_name("source_total_amount"), raw("source_total_amount"),
+    statuses = ", ".join(f"'{s}'" for s in C.SALE_STATUSES)
+    date_error = dates.date_error_sql("_c_order_date", "order_date")
+    rules = [
+        ("line_number IS NULL", "'INVALID_LINE_NUMBER'", "line_number"),
+        ("order_id IS NULL", "'MISSING_REQUIRED'", "order_id"),
+        ("order_date IS NULL", date_error, "order_date"),
+        ("_qty.error IS NOT NULL", "_qty.error", "quantity"),
+        ("_price.error IS NOT NULL", "_price.error", "unit_price"),
+        ("status = ''", "'MISSING_REQUIRED'", "status"),
+        (f"status <> '' AND status NOT IN ({statuses})", "'INVALID_STATUS'", "status"),
+        ("_c_product_input IS NULL", "'MISSING_REQUIRED'", "product_input"),
+        ("_c_product_input IS NOT NULL AND sku IS NULL", "'UNMAPPED_PRODUCT'", "product_input"),
+        ("sku IS NOT NULL AND unit_price <> master_price", "'PRICE_DIFFERS_FROM_MASTER'", "unit_price", "WARNING"),
+        ("_disc.error IS NOT NULL", "_disc.error", "discount_amount"),
+        ("discount_amount > gross_amount", "'DISCOUNT_EXCEEDS_GROSS'", "discount_amount"),
+        ("_total.error IS NOT NULL", "_total.error", "source_total_amount"),
+        (
+            "source_total_amount <> gross_amount AND NOT (source_total_amount <=> net_amount)",
+            "'AMOUNT_MISMATCH'", "source_total_amount",
         ),
+        *[(f"{_has_field_sql(f)} AND _c_{f} IS NULL", "'MISSING_OPTIONAL'", f, "WARNING") for f in C.OPTIONAL_WARNED_FIELDS],
+        ("_c_payment_method IS NOT NULL AND _known_payment IS NULL", "'UNKNOWN_PAYMENT'", "payment_method", "WARNING"),
+        ("NOT _email_ok", "'INVALID_EMAIL'", "customer_email", "WARNING"),
     ]
-    for field in C.OPTIONAL_WARNED_FIELDS:
-        absent = _has_field(field) & F.col(f"_c_{field}").isNull()
-        checks.append(_issue(absent, "MISSING_OPTIONAL", native_name(field), raw(field), "WARNING"))
-    checks += [
-        _issue(F.col("_pay_unknown"), "UNKNOWN_PAYMENT", native_name("payment_method"), raw("payment_method"), "WARNING"),
-        _issue(~F.col("_email_ok"), "INVALID_EMAIL", native_name("customer_email"), raw("customer_email"), "WARNING"),
-    ]
-    ruled = typed.withColumn("issues", F.array_compact(F.array(*checks)))
+    checks = [_issue_sql(test, rule, native_name_sql(f), f"_r_{f}", *severity) for test, rule, f, *severity in rules]
     extra = [c for c in keep if c not in C.LINEAGE]
-    return ruled.select(*C.SALES_COLUMNS, *extra, "issues")
+    return typed.selectExpr(*C.SALES_COLUMNS, *extra, f"{_issues_sql(checks)} AS issues")
 
 
 def apply_product_rules(rows: DataFrame, unicode: bool = True) -> DataFrame:
     """Typed product master rows and their issues."""
     required = C.PRODUCT_COLUMNS[:-1]
-    keep = [c for c in C.LINEAGE[1:]] + [c for c in ("raw_payload", "payload_hash") if c in rows.columns]
-    staged = rows.select(
-        F.lit("product").alias("source"), *keep,
-        *[F.col(c).alias(f"_r_{c}") for c in C.PRODUCT_COLUMNS],
-        *[text.clean_text(c, unicode).alias(c) for c in required],
-        numbers.positive_money(text.clean_text("price", unicode)).alias("_price"),
-    )
-    checks = [_issue(F.col(c).isNull(), "MISSING_REQUIRED", F.lit(c), F.col(f"_r_{c}")) for c in required]
-    error = F.col("_price.error")
-    checks.append(_issue(error.isNotNull(), error, F.lit("price"), F.col("_r_price")))
-    extra = [c for c in keep if c not in C.LINEAGE]
-    return staged.select(
-        F.upper("sku").alias("sku"), *[F.col(c) for c in required[1:]], F.col("_price.value").alias("price"),
-        *C.LINEAGE, *extra, F.array_compact(F.array(*checks)).alias("issues"),
+    extra = [c for c in ("raw_payload", "payload_hash") if c in rows.columns]
+    staged = rows.selectExpr("'product' AS source", *C.LINEAGE[1:], *extra, *[f"`{c}` AS _r_{c}" for c in C.PRODUCT_COLUMNS])
+    staged = text.with_clean_text(staged, {c: f"_r_{c}" for c in C.PRODUCT_COLUMNS}, unicode)
+    staged = staged.selectExpr("*", f"{numbers.money_sql('price')} AS _price")
+    checks = [_issue_sql(f"{c} IS NULL", "'MISSING_REQUIRED'", f"'{c}'", f"_r_{c}") for c in required]
+    checks.append(_issue_sql("_price.error IS NOT NULL", "_price.error", "'price'", "_r_price"))
+    return staged.selectExpr(
+        "upper(sku) AS sku", *required[1:], f"{numbers.accepted_sql('_price')} AS price", *C.LINEAGE, *extra,
+        f"{_issues_sql(checks)} AS issues",
     )
 
 
@@ -240,39 +204,29 @@ def resolve_versions(
     first valid row stays and later valid rows are duplicates. Per-key facts
     come from one map-side combined aggregate, not from a window.
     """
-    signed = ruled.withColumns(
-        {**signature_columns(signature_of), "_errors": _error_texts(F.col("issues"))}
-    )
-    valid = F.size("_errors") == 0
+    signed = ruled.selectExpr("*", *signature_columns(signature_of), f"{_ERRORS_SQL} AS _errors")
     stats = {
         "_min_a": F.min("_sig_a"), "_max_a": F.max("_sig_a"), "_min_b": F.min("_sig_b"), "_max_b": F.max("_sig_b"),
-        "_first": F.min(F.when(valid, F.col("source_row_number"))),
+        "_first": F.expr("min(CASE WHEN size(_errors) = 0 THEN source_row_number END)"),
     }
     spread = ["source_row_number"]
     joined = annotate_keys(signed, keys, stats, spread, hot_rows=hot_rows)
-    conflict = F.coalesce(
-        (F.col("_min_a") != F.col("_max_a")) | (F.col("_min_b") != F.col("_max_b")), F.lit(False)
-    )
-    later = F.coalesce(F.col("source_row_number") > F.col("_first"), F.lit(False))
-    key_text = F.concat_ws("|", *keys) if key_text is None else key_text
-    note = lambda severity, rule: F.array(
-        F.struct(
-            F.lit(severity).alias("severity"), F.lit(rule).alias("rule"), F.lit("business_key").alias("field"),
-            key_text.alias("raw_value"),
-        )
+    joined = joined.withColumn("_key_text", F.concat_ws("|", *keys) if key_text is None else key_text)
+    joined = joined.selectExpr("*", "coalesce(_min_a <> _max_a OR _min_b <> _max_b, false) AS _conflict")
+    flagged = joined.selectExpr(
+        "*",
+        "CASE WHEN size(_errors) > 0 OR _conflict THEN 'rejected' WHEN source_row_number > _first THEN 'duplicate' "
+        "ELSE 'clean' END AS disposition",
     )
-    disposition = (
-        F.when((F.size("_errors") > 0) | conflict, "rejected").when(later, "duplicate").otherwise("clean")
+    note = lambda severity, rule: (
+        f"array(named_struct('severity', '{severity}', 'rule', '{rule}', 'field', 'business_key', 'raw_value', _key_text))"
     )
-    flagged = joined.withColumns({"disposition": disposition, "is_conflict": conflict})
-    reasons = F.concat_ws("|", F.concat("_errors", F.when(conflict, F.array(F.lit("business_key:CONFLICTING_DUPLICATE"))).otherwise(F.array().cast("array<string>"))))
-    return flagged.select(
-        *[c for c in ruled.columns if c != "issues"],
-        F.when(conflict, F.concat("issues", note("ERROR", "CONFLICTING_DUPLICATE")))
-        .when(F.col("disposition") == "duplicate", F.concat("issues", note("INFO", "DUPLICATE_BUSINESS_KEY")))
-        .otherwise(F.col("issues"))
-        .alias("issues"),
-        F.when(F.col("disposition") == "duplicate", "DUPLICATE_BUSINESS_KEY").otherwise(reasons).alias("reasons"),
+    return flagged.selectExpr(
+        *[f"`{c}`" for c in ruled.columns if c != "issues"],
+        f"CASE WHEN _conflict THEN concat(issues, {note('ERROR', 'CONFLICTING_DUPLICATE')}) "
+        f"WHEN disposition = 'duplicate' THEN concat(issues, {note('INFO', 'DUPLICATE_BUSINESS_KEY')}) ELSE issues END AS issues",
+        "CASE WHEN disposition = 'duplicate' THEN 'DUPLICATE_BUSINESS_KEY' ELSE "
+        "concat_ws('|', _errors, CASE WHEN _conflict THEN 'business_key:CONFLICTING_DUPLICATE' END) END AS reasons",
         "disposition",
     )
 
@@ -368,8 +322,8 @@ def column_profile(rows: DataFrame, columns: list[str], by: list[str] = [], unic
     One pass: values are unpivoted, combined map-side per (column, value), and
     counted per column; no Expand over several distinct aggregates.
     """
-    values = [F.struct(F.lit(c).alias("column"), text.clean_text(F.col(c).cast("string"), unicode).alias("value")) for c in columns]
-    cells = rows.select(*by, F.inline(F.array(*values)))
+    cells = rows.select(*by, F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("_raw")) for c in columns])))
+    cells = text.with_clean_text(cells, {"value": "_raw"}, unicode)
     per_value = cells.groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("_n"))
     return per_value.groupBy(*by, "column").agg(
         F.lit("string").alias("raw_dtype"),

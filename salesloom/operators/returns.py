@@ -23,19 +23,18 @@ FOLD_LIMIT = 2_000
 
 def normalize_returns(rows: DataFrame, unicode: bool = True) -> DataFrame:
     """Typed return rows with the first broken rule in ``reason``."""
-    clean = {c: text.clean_text(c, unicode) for c in C.RETURN_COLUMNS}
     keep = [c for c in rows.columns if c not in C.RETURN_COLUMNS]
-    staged = rows.select(*rows.columns, *[v.alias(f"_c_{c}") for c, v in clean.items()])
+    staged = text.with_clean_text(rows, {f"_c_{c}": c for c in C.RETURN_COLUMNS}, unicode)
     staged = staged.withColumns(
         {
-            "_source": text.channel_code(F.col("source_name"), unicode),
+            "_source": text.known_channel("_c_source_name"),
             "_status": F.upper(F.coalesce("_c_return_status", F.lit(""))),
             "_refund_status": F.upper(F.coalesce("_c_refund_status", F.lit(""))),
-            "_date": dates.iso_date(F.col("_c_return_date")),
-            "_refund": numbers.nonnegative_money(F.col("_c_refund_amount"), C.REFUND_MAX),
-            "_rline": numbers.line_number(F.col("_c_return_line_number")),
-            "_oline": numbers.line_number(F.col("_c_order_line_number")),
-            "_units": numbers.line_number(F.col("_c_quantity_returned")),
+            "_date": dates.iso_date("_c_return_date"),
+            "_refund": numbers.nonnegative_money("_c_refund_amount", C.REFUND_MAX),
+            "_rline": numbers.line_number("_c_return_line_number"),
+            "_oline": numbers.line_number("_c_order_line_number"),
+            "_units": numbers.line_number("_c_quantity_returned"),
         }
     )
     text_of = C.RETURN_REASONS
@@ -64,7 +63,7 @@ def normalize_returns(rows: DataFrame, unicode: bool = True) -> DataFrame:
         "source_order_id": F.col("_c_order_id"), "source_line_number": F.col("_oline"), "return_date": F.col("_date"),
         "return_reason": F.col("_c_return_reason"), "return_status": F.col("_status"),
         "quantity_returned": F.col("_units"),
-        "refund_amount": F.when(processed, F.col("_refund.value").cast("decimal(16,2)")),
+        "refund_amount": F.when(processed, numbers.accepted("_refund").cast("decimal(16,2)")),
         "refund_status": F.col("_refund_status"),
     }
     out = staged.select(*keep, *[v.alias(c) for c, v in typed.items()], reason.alias("reason"))

@@ -22,7 +22,7 @@ SPREAD = 1 << 16
 BLOCK = 1 << 16
 
 
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 500_000
 
 
 def bounded_broadcast(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -80,9 +80,16 @@ def hot_keys(rows: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> Data
 
 
 def lookup_left_join(
-    rows: DataFrame, table: DataFrame, keys: list[str], spread_on: list[str], hot_rows: int = HOT_ROWS
+    rows: DataFrame, table: DataFrame, keys: list[str], spread_on: list[str], hot_rows: int = HOT_ROWS,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Skew-proof left join of ``rows`` to an external table unique on ``keys``."""
+    """Left join of ``rows`` to a table unique on ``keys``, safe for hot keys.
+
+    A table counted to at most ``broadcast_rows`` rows is broadcast. A larger
+    one is shuffled, with the keys that are hot in ``rows`` matched apart.
+    """
+    if broadcast_rows and table.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        return rows.join(F.broadcast(table), keys, "left").select(*rows.columns, *[c for c in table.columns if c not in keys])
     hot = table.join(F.broadcast(hot_keys(rows, keys, hot_rows)), keys, "left_semi")
     return keyed_left_join(rows, table, keys, hot, spread_on)
 

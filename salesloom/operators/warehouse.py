@@ -172,7 +172,7 @@ def merge_customers(old: DataFrame, staged: DataFrame) -> DataFrame:
     """A missing new name or city never erases a known one."""
     assign = {
         "customer_name": F.coalesce("n.customer_name", "o.customer_name"),
-        "city": F.when(text.is_missing(F.col("n.city")), F.col("o.city")).otherwise(F.col("n.city")),
+        "city": F.when(text.is_missing("n.city"), F.col("o.city")).otherwise(F.col("n.city")),
     }
     return merge_upsert(
         old, batch_customers(staged), ["customer_nk"], assign=assign,

@@ -1,5 +1,5 @@
 """All registered queries by name: (callable, SQL or None)."""
 
-from salesloom.plans import sales_queries
+from salesloom.plans import quality_queries, sales_queries
 
-QUERIES = {**sales_queries.QUERIES}
+QUERIES = {**sales_queries.QUERIES, **quality_queries.QUERIES}

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from salesloom import contracts as C
 from salesloom.operators import warehouse
+from salesloom.session import spread_small
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -206,7 +207,7 @@ dirty_copies AS (
   UNION ALL SELECT *, 1 AS copy FROM dirty_base WHERE (l_orderkey + l_linenumber) % 9 = 0
 ),
 dirty AS (
-  SELECT source, (l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey * 2 + copy AS source_row_number, m, copy,
+  SELECT source, ((l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey * 2 + copy) * 64 + qty AS source_row_number, m, copy,
     CASE WHEN m = 8 THEN '' ELSE CASE WHEN copy = 1 THEN ' ' ELSE '' END || 'ORD-' || l_orderkey END AS order_id,
     CASE WHEN m = 6 THEN '0' WHEN m = 7 THEN 'x' ELSE CAST(l_linenumber AS VARCHAR) END AS line_number,
     CASE WHEN m = 9 THEN '31/02/1998' WHEN m = 10 THEN 'N/A'
@@ -241,7 +242,7 @@ def dirty(spark: SparkSession, sf: str) -> DataFrame:
     """Channel rows as text with damaged cells, conflicting versions and exact copies."""
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     part = table(spark, sf, "part").select("p_partkey", "p_name", "p_retailprice")
-    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount")
+    lines = spread_small(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount"))
     base = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(part, F.col("l_partkey") == F.col("p_partkey"))
     price, qty = F.col("p_retailprice").cast("decimal(14,2)"), F.col("l_quantity").cast("int")
     gross = (qty * price).cast("decimal(16,2)")
@@ -301,7 +302,7 @@ def dirty(spark: SparkSession, sf: str) -> DataFrame:
         "discount_amount": damage({19: "-5", 20: "999999999", 21: "x1"}, F.when(F.col("disc") == 0, "").otherwise(text("disc"))),
         "promo_code": F.when(F.col("disc") > 0, F.concat(F.lit("promo"), text(F.col("l_partkey") % 12))).otherwise(""),
     }
-    row = (F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 1000000 + F.col("l_partkey") * 2 + F.col("copy")
+    row = ((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 1000000 + F.col("l_partkey") * 2 + F.col("copy")) * 64 + F.col("qty")
     out = base.select(
         "source", F.concat("source", F.lit(".csv")).alias("source_file"), row.alias("source_row_number"),
         F.lit("0" * 64).alias("source_sha256"), *[v.alias(k) for k, v in cells.items()],

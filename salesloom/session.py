@@ -47,3 +47,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: later stages survive the loss of any executor."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Spread an input with fewer splits than cores; one that has enough is left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
