@@ -329,7 +329,8 @@ def judge_returns(
     Every input row comes back with ``disposition`` accepted, duplicate or
     rejected, and its ``reason``.
     """
-    resolved = resolve_return_versions(normalize_returns(rows, unicode), hot_rows)
+    normalized = cut_lineage(normalize_returns(rows, unicode))
+    resolved = cut_lineage(resolve_return_versions(normalized, hot_rows))
     candidates = resolved.where("reason IS NULL AND NOT is_duplicate")
     judged = apply_caps(candidates, sales, return_facts, fold_limit, wave_partitions)
     settled = judged.select(

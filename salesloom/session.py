@@ -21,6 +21,7 @@ def local_session(cpus: int = 8, memory: str = "8g", partitions: int | None = No
     builder = SparkSession.builder.master(f"local[{cpus}]").appName("salesloom")
     builder = builder.config("spark.ui.enabled", "false").config("spark.driver.memory", memory)
     builder = builder.config("spark.sql.shuffle.partitions", str(partitions or cpus))
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
