@@ -284,7 +284,7 @@ def run_comparison(runs: DataFrame) -> DataFrame:
 
 def run_durations(runs: DataFrame) -> DataFrame:
     """Seconds from start to end, else the recorded value."""
-    measured = F.col("ended_at").cast("double") - F.col("started_at").cast("double")
+    measured = F.timestamp_diff("MICROSECOND", F.col("started_at"), F.col("ended_at")) / 1e6
     return runs.select("run_id", F.coalesce(measured, F.col("duration_seconds").cast("double")).alias("seconds"))
 
 

@@ -1,0 +1,89 @@
+"""Warehouse tables as versioned Parquet folders with one commit per run.
+
+A run writes new folders next to the current ones and then records, in one
+commit file, which folder each table now consists of. Readers follow the last
+commit, so a failed run leaves the tables as they were.
+"""
+
+from __future__ import annotations
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+
+WHOLE = "all"
+
+
+class TableStore:
+    """Tables under one shared root folder.
+
+    A table may consist of parts (a fact table has one per channel); a run
+    rewrites the parts it touches and carries the others over by reference.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, schemas: dict[str, str]):
+        self.spark, self.root, self.schemas = spark, root.rstrip("/"), schemas
+        self._staged: dict[tuple, str] = {}
+        self._commits: dict[tuple, tuple] | None = None
+        self._writes = 0
+
+    def _current(self) -> dict[tuple, tuple]:
+        if self._commits is None:
+            try:
+                schema = "commit bigint, table_name string, part string, folder string"
+                log = self.spark.read.schema(schema).json(f"{self.root}/_commits")
+                last = log.groupBy("table_name", "part").agg(F.max(F.struct("commit", "folder")).alias("_last"))
+                rows = last.select("table_name", "part", "_last.commit", "_last.folder").collect()  # one per table part
+            except AnalysisException:
+                rows = []
+            self._commits = {(r["table_name"], r["part"]): (r["commit"], r["folder"]) for r in rows}
+        return self._commits
+
+    @property
+    def version(self) -> int:
+        return max((c for c, _ in self._current().values()), default=0)
+
+    def _folders(self, name: str, part: str | None) -> list[str]:
+        found = {key: folder for key, (_, folder) in self._current().items()}
+        found.update(self._staged)
+        return [f for (n, p), f in sorted(found.items()) if n == name and part in (None, p)]
+
+    def read(self, name: str, part: str | None = None) -> DataFrame:
+        """The table (or one part) as staged in this run, else as last committed."""
+        folders = self._folders(name, part)
+        if not folders:
+            return self.spark.createDataFrame([], self.schemas[name])
+        return self.spark.read.schema(self.schemas[name]).parquet(*[f"{self.root}/{f}" for f in folders])
+
+    def _typed(self, name: str, df: DataFrame) -> DataFrame:
+        wanted = self.spark.createDataFrame([], self.schemas[name]).schema
+        return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted.fields])
+
+    def stage(self, name: str, df: DataFrame, part: str = WHOLE) -> DataFrame:
+        """Write the next version of a table part; visible to this run, committed later."""
+        self._writes += 1
+        folder = f"{name}/{part}-v{self.version + 1}-{self._writes}"
+        self._typed(name, df).write.mode("overwrite").parquet(f"{self.root}/{folder}")
+        self._staged[(name, part)] = folder
+        return self.read(name)
+
+    def append(self, name: str, df: DataFrame) -> None:
+        """Append-only rows (raw landing and audit logs)."""
+        rows = self._typed(name, df) if name in self.schemas else df
+        rows.write.mode("append").parquet(f"{self.root}/{name}/log")
+
+    def read_log(self, name: str) -> DataFrame | None:
+        try:
+            return self.spark.read.option("mergeSchema", True).parquet(f"{self.root}/{name}/log")
+        except AnalysisException:
+            return self.spark.createDataFrame([], self.schemas[name]) if name in self.schemas else None
+
+    def commit(self) -> int:
+        """Make everything staged current with one file."""
+        number = self.version + 1
+        rows = [(number, name, part, folder) for (name, part), folder in sorted(self._staged.items())]
+        if rows:
+            pointer = self.spark.createDataFrame(rows, "commit bigint, table_name string, part string, folder string")
+            pointer.coalesce(1).write.mode("append").json(f"{self.root}/_commits")
+        self._staged, self._commits = {}, None
+        return number
