@@ -69,7 +69,7 @@ def _net() -> Column:
 
 def dashboard_metrics(detail: DataFrame) -> DataFrame:
     """The 18 filtered measures (G12); pass the filtered detail."""
-    m = kpi.measures(detail, [], {"unresolved_city_records": text.is_missing("city")})
+    m = kpi.measures(detail, [], {"unresolved_city_records": text.missing_sql("city")})
     rate = lambda part, whole: F.coalesce(numbers.ratio_pct(F.col(part), F.col(whole)), F.lit(0))
     return m.select(
         "gross_order_value_all_statuses", F.col("gross_sales_eligible").alias("gross_sales"),

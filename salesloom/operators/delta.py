@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from salesloom import contracts as C
 from salesloom.functions import numbers, text
 from salesloom.operators.skew import HOT_ROWS, annotate_keys, lookup_left_join
+from salesloom.session import cut_lineage
 
 
 def mark_changed(
@@ -24,6 +25,7 @@ def mark_changed(
     marked = marked.withColumn("is_changed", F.col("_known").isNull()).drop("_known")
     if not key:
         return marked.withColumn("is_selected", F.col("is_changed"))
+    marked = cut_lineage(marked)  # read by the per-key aggregate and by the join back
     keyed = annotate_keys(marked, key, {"_sibling": F.max("is_changed")}, spread_on, hot_rows=hot_rows)
     selected = F.col("is_changed") | F.coalesce("_sibling", F.lit(False))
     return keyed.select(*marked.columns, selected.alias("is_selected"))

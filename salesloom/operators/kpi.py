@@ -17,68 +17,53 @@ ORDER = ["source_name", "source_order_id"]
 MEASURES = ("gross_amount", "net_amount", "discount_amount", "quantity", "returned_units", "processed_refund_amount")
 
 
-def _when(condition: str, value: str) -> Column:
-    return F.when(F.col(condition), F.col(value))
-
-
-def order_grain(detail: DataFrame, by: list[str], counts: dict[str, Column] | None = None) -> DataFrame:
+def order_grain(detail: DataFrame, by: list[str], counts: dict[str, str] | None = None) -> DataFrame:
     """One row per (group, order): flags, line counts and sums, split by eligibility.
 
-    ``counts`` adds conditional line counts by name.
+    ``counts`` adds conditional line counts: name -> SQL condition.
     """
-    flagged = detail.withColumns(
-        {
-            "_ok": F.col("sale_status").isin("COMPLETED", "RETURNED"),
-            "_done": F.col("sale_status") == "COMPLETED",
-            "_back": F.col("sale_status") == "RETURNED",
-        }
-    ).withColumn("_ret", F.col("_ok") & (F.col("returned_units") > 0))
-    one = F.lit(1)
-    return flagged.groupBy(*by, *ORDER).agg(
-        F.max("_ok").alias("has_eligible"), F.max("_done").alias("has_completed"),
-        F.max("_back").alias("has_returned_status"), F.max("_ret").alias("has_returned_units"),
-        F.count(one).alias("lines"), F.count(F.when(F.col("_ok"), one)).alias("eligible_lines"),
-        F.count(F.when(F.col("_ret"), one)).alias("returned_lines"),
-        *[F.sum(m).alias(f"all_{m}") for m in MEASURES],
-        *[F.sum(_when("_ok", m)).alias(f"ok_{m}") for m in MEASURES],
-        *[F.sum(_when("_done", m)).alias(f"done_{m}") for m in ("net_amount", "quantity")],
-        *[F.count_if(test).alias(name) for name, test in (counts or {}).items()],
+    flagged = detail.selectExpr(
+        "*", "sale_status IN ('COMPLETED', 'RETURNED') AS _ok", "sale_status = 'COMPLETED' AS _done",
+        "sale_status = 'RETURNED' AS _back", "sale_status IN ('COMPLETED', 'RETURNED') AND returned_units > 0 AS _ret",
     )
+    measured = [
+        "max(_ok) AS has_eligible", "max(_done) AS has_completed", "max(_back) AS has_returned_status",
+        "max(_ret) AS has_returned_units", "count(1) AS lines", "count_if(_ok) AS eligible_lines",
+        "count_if(_ret) AS returned_lines", *[f"sum({m}) AS all_{m}" for m in MEASURES],
+        *[f"sum(CASE WHEN _ok THEN {m} END) AS ok_{m}" for m in MEASURES],
+        *[f"sum(CASE WHEN _done THEN {m} END) AS done_{m}" for m in ("net_amount", "quantity")],
+        *[f"count_if({test}) AS {name}" for name, test in (counts or {}).items()],
+    ]
+    return flagged.groupBy(*by, *ORDER).agg(*[F.expr(m) for m in measured])
 
 
-def _sum(column: str, decimal: bool = True) -> Column:
-    zero = F.lit(0).cast("decimal(26,2)") if decimal else F.lit(0).cast("bigint")
-    return F.coalesce(F.sum(column), zero)
+def _sum(column: str, decimal: bool = True) -> str:
+    return f"coalesce(sum({column}), CAST(0 AS {'DECIMAL(26,2)' if decimal else 'BIGINT'}))"
 
 
-def measures(detail: DataFrame, by: list[str], counts: dict[str, Column] | None = None) -> DataFrame:
+def measures(detail: DataFrame, by: list[str], counts: dict[str, str] | None = None) -> DataFrame:
     """All building-block measures per group; the ones not selected later are pruned from the plan."""
-    orders = order_grain(detail, by, counts)
-    return orders.groupBy(*by).agg(
-        _sum("all_gross_amount").alias("gross_order_value_all_statuses"),
-        _sum("ok_gross_amount").alias("gross_sales_eligible"),
-        _sum("ok_net_amount").alias("sales_after_discount_eligible"),
-        (_sum("ok_net_amount") - _sum("ok_processed_refund_amount")).alias("net_sales_after_refunds"),
-        _sum("ok_discount_amount").alias("discounts_eligible"),
-        F.count(F.lit(1)).alias("total_orders_all_statuses"),
-        F.count_if("has_eligible").alias("eligible_orders"),
-        F.count_if("has_completed").alias("completed_orders"),
-        F.count_if("has_returned_status").alias("returned_status_orders"),
-        _sum("ok_quantity", False).alias("eligible_units"),
-        F.count_if("has_returned_units").alias("returned_orders"),
-        _sum("returned_lines", False).alias("returned_order_lines"),
-        _sum("ok_returned_units", False).alias("returned_units"),
-        _sum("ok_processed_refund_amount").alias("processed_refund_amount"),
-        _sum("eligible_lines", False).alias("eligible_lines"),
-        _sum("lines", False).alias("total_lines"),
-        _sum("all_net_amount").alias("net_all"),
-        _sum("all_quantity", False).alias("units_all"),
-        _sum("all_returned_units", False).alias("returned_units_all"),
-        _sum("all_processed_refund_amount").alias("refund_all"),
-        _sum("done_net_amount").alias("net_sales_completed"),
-        _sum("done_quantity", False).alias("completed_units"),
-        *[_sum(name, False).alias(name) for name in counts or {}],
-    )
+    money = {
+        "gross_order_value_all_statuses": "all_gross_amount", "gross_sales_eligible": "ok_gross_amount",
+        "sales_after_discount_eligible": "ok_net_amount", "discounts_eligible": "ok_discount_amount",
+        "processed_refund_amount": "ok_processed_refund_amount", "net_all": "all_net_amount",
+        "refund_all": "all_processed_refund_amount", "net_sales_completed": "done_net_amount",
+    }
+    whole = {
+        "eligible_units": "ok_quantity", "returned_order_lines": "returned_lines", "returned_units": "ok_returned_units",
+        "eligible_lines": "eligible_lines", "total_lines": "lines", "units_all": "all_quantity",
+        "returned_units_all": "all_returned_units", "completed_units": "done_quantity", **{n: n for n in counts or {}},
+    }
+    flags = {
+        "eligible_orders": "has_eligible", "completed_orders": "has_completed",
+        "returned_status_orders": "has_returned_status", "returned_orders": "has_returned_units",
+    }
+    columns = [
+        "count(1) AS total_orders_all_statuses", *[f"count_if({c}) AS {n}" for n, c in flags.items()],
+        *[f"{_sum(c)} AS {n}" for n, c in money.items()], *[f"{_sum(c, False)} AS {n}" for n, c in whole.items()],
+        f"{_sum('ok_net_amount')} - {_sum('ok_processed_refund_amount')} AS net_sales_after_refunds",
+    ]
+    return order_grain(detail, by, counts).groupBy(*by).agg(*[F.expr(c) for c in columns])
 
 
 def _aov(net: str, orders: str) -> Column:
@@ -190,8 +175,8 @@ def return_refund_kpi(return_facts: DataFrame) -> DataFrame:
     )
     return per_id.groupBy(*by).agg(
         F.count(F.lit(1)).alias("return_requests"), F.sum("_lines").alias("return_line_events"),
-        F.sum("_approved").alias("approved_return_lines"), _sum("_units", False).alias("approved_return_units"),
-        _sum("_refund").alias("processed_refund_amount"),
+        F.sum("_approved").alias("approved_return_lines"),
+        F.expr(f"{_sum('_units', False)} AS approved_return_units"), F.expr(f"{_sum('_refund')} AS processed_refund_amount"),
     )
 
 

@@ -213,7 +213,7 @@ PAYLOAD = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
 
 def raw_lines(spark, sf):
     """Raw payloads: every version of every order line."""
-    rows = T.table(spark, sf, "lineitem").select(*[F.col(c).cast("string").alias(c) for c in PAYLOAD])
+    rows = T.lines(spark, sf, *PAYLOAD).selectExpr(*[f"CAST({c} AS STRING) AS {c}" for c in PAYLOAD])
     return rows.withColumns({"payload_hash": payload_hash(PAYLOAD), "source_row_number": F.xxhash64(*PAYLOAD)})
 
 

@@ -14,8 +14,20 @@ from salesloom.operators import warehouse
 from salesloom.session import spread_small
 
 
+_SCHEMAS: dict = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A given table; its footer is read for the schema once."""
+    path = f"{sf}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+
+
+def lines(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    """Columns of lineitem, spread when the file has fewer splits than there are cores."""
+    return spread_small(table(spark, sf, "lineitem").select(*columns), *columns)
 
 
 def _by_remainder(column: str, divisor: int, values) -> Column:
@@ -30,55 +42,43 @@ SOURCE_SQL = (
 )
 
 
-def source_code() -> Column:
-    return _by_remainder("o_custkey", 4, C.CHANNEL_CODES)
-
-
 # ------------------------------------------------------------ sales and returns
 
 
 def line_facts(spark: SparkSession, sf: str) -> DataFrame:
     """Order lines whose business key has one version (conflicting keys are set aside)."""
-    flag = F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "R", 2).otherwise(0)
+    # the key and flag tests keep the aggregate alike for sales and returns, so that one shuffle serves both
+    keyed = table(spark, sf, "lineitem").where("l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL")
     return (
-        table(spark, sf, "lineitem")
-        .groupBy("l_orderkey", "l_linenumber")
+        keyed.groupBy("l_orderkey", "l_linenumber")
         .agg(
-            F.count(F.lit(1)).alias("versions"), F.min("l_partkey").alias("l_partkey"),
-            F.min(F.col("l_quantity").cast("int")).alias("quantity"),
-            F.min(F.col("l_discount").cast("decimal(4,2)")).alias("rate"), F.min(flag).alias("flag"),
+            F.expr("count(1) AS versions"), F.expr("min(l_partkey) AS l_partkey"), F.expr("min(CAST(l_quantity AS INT)) AS quantity"),
+            F.expr("min(CAST(l_discount AS DECIMAL(4,2))) AS rate"),
+            F.expr("min(CASE l_returnflag WHEN 'A' THEN 1 WHEN 'R' THEN 2 ELSE 0 END) AS flag"),
         )
-        .where("versions = 1")
+        .where("versions = 1 AND flag >= 0")
     )
 
 
 def _order_lines(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     part = table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_retailprice")
-    joined = line_facts(spark, sf).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    return joined.join(part, F.col("l_partkey") == F.col("p_partkey"))
-
-
-def _line_columns() -> dict[str, Column]:
-    price = F.col("p_retailprice").cast("decimal(14,2)")
-    gross = (F.col("quantity") * price).cast("decimal(16,2)")
-    discount = (gross * F.col("rate")).cast("decimal(16,2)")
-    return {
-        "source_name": source_code(),
-        "source_order_id": F.col("l_orderkey").cast("string"),
-        "source_line_number": F.col("l_linenumber"),
-        "order_date": F.col("o_orderdate").cast("date"),
-        "product_id": F.col("p_partkey").cast("string"),
-        "product_name": F.col("p_name"), "brand": F.col("p_brand"),
-        "category": F.when(F.col("p_partkey") % 20 == 3, "  ").otherwise(F.col("p_type")),
-        "sale_status": F.when(F.col("o_orderstatus") == "F", "COMPLETED").when(F.col("o_orderstatus") == "P", "RETURNED").otherwise("CANCELLED"),
-        "payment_method": F.col("o_orderpriority"),
-        "quantity": F.col("quantity"), "unit_price": price, "gross_amount": gross, "discount_amount": discount,
-        "net_amount": (gross - discount).cast("decimal(16,2)"),
-        "promo_code": F.when(F.col("l_orderkey") % 25 == 0, "n/a").when(
-            F.col("rate") > 0, F.concat(F.lit("PROMO"), (F.col("l_partkey") % 12).cast("string"))
-        ),
-    }
+    joined = line_facts(spark, sf).join(orders, F.expr("l_orderkey = o_orderkey")).join(part, F.expr("l_partkey = p_partkey"))
+    priced = joined.selectExpr("*", "CAST(p_retailprice AS DECIMAL(14,2)) AS unit_price")
+    gross = priced.selectExpr("*", "CAST(quantity * unit_price AS DECIMAL(16,2)) AS gross_amount")
+    return gross.selectExpr("*", "CAST(gross_amount * rate AS DECIMAL(16,2)) AS discount_amount")
+
+
+_LINE_COLUMNS = (
+    f"{SOURCE_SQL} AS source_name", "CAST(l_orderkey AS STRING) AS source_order_id", "l_linenumber AS source_line_number",
+    "CAST(o_orderdate AS DATE) AS order_date", "CAST(p_partkey AS STRING) AS product_id", "p_name AS product_name", "p_brand AS brand",
+    "CASE WHEN p_partkey % 20 = 3 THEN '  ' ELSE p_type END AS category",
+    "CASE o_orderstatus WHEN 'F' THEN 'COMPLETED' WHEN 'P' THEN 'RETURNED' ELSE 'CANCELLED' END AS sale_status",
+    "o_orderpriority AS payment_method", "quantity", "unit_price", "gross_amount", "discount_amount",
+    "CAST(gross_amount - discount_amount AS DECIMAL(16,2)) AS net_amount",
+    "CASE WHEN l_orderkey % 25 = 0 THEN 'n/a' WHEN rate > 0 THEN 'PROMO' || (l_partkey % 12) END AS promo_code",
+    "l_orderkey", "l_partkey", "flag", "o_custkey",
+)
 
 
 LINES_SQL = """
@@ -151,30 +151,22 @@ def sales(spark: SparkSession, sf: str) -> DataFrame:
     """Sale lines with customer and city."""
     customer = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
     nation = table(spark, sf, "nation").select("n_nationkey", "n_name")
-    joined = _order_lines(spark, sf).join(customer, F.col("o_custkey") == F.col("c_custkey"))
-    joined = joined.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    city = F.when(F.col("o_custkey") % 10 == 0, "").when(F.col("o_custkey") % 10 == 1, "N/A").otherwise(F.col("n_name"))
-    columns = {**_line_columns(), "customer_name": F.col("c_name"), "city": city}
-    return joined.select(*[v.alias(k) for k, v in columns.items()], "l_orderkey", "l_partkey", "o_custkey")
+    joined = _order_lines(spark, sf).join(customer, F.expr("o_custkey = c_custkey")).join(nation, F.expr("c_nationkey = n_nationkey"))
+    city = "CASE o_custkey % 10 WHEN 0 THEN '' WHEN 1 THEN 'N/A' ELSE n_name END AS city"
+    return joined.selectExpr(*_LINE_COLUMNS, "c_name AS customer_name", city).drop("flag")
 
 
 def returns(spark: SparkSession, sf: str) -> DataFrame:
     """Return events of completed and returned sales."""
-    base = _order_lines(spark, sf).where("flag > 0 AND o_orderstatus IN ('F', 'P')")
-    columns = _line_columns()
-    kept = ("source_name", "source_order_id", "source_line_number", "order_date", "unit_price", "net_amount", "quantity")
-    lines = base.select(*[columns[c].alias(c) for c in kept], "l_orderkey", "l_partkey", "flag")
-    rejected, paid = F.col("l_orderkey") % 11 == 0, F.col("flag") == 2
-    units = F.floor((F.col("quantity") + 1) / 2).cast("int")
-    return lines.select(
-        "source_name", F.concat(F.lit("R"), "source_order_id").alias("return_id"),
-        F.col("source_line_number").alias("return_line_number"), "source_order_id", "source_line_number",
-        F.date_add("order_date", 3 * F.col("source_line_number")).alias("return_date"),
-        F.concat(F.lit("reason "), (F.col("l_partkey") % 13).cast("string")).alias("return_reason"),
-        F.when(rejected, "REJECTED").when(paid, "PROCESSED").when(F.col("l_orderkey") % 2 == 0, "APPROVED").otherwise("PENDING").alias("return_status"),
-        units.alias("quantity_returned"),
-        F.when(~rejected & paid, F.least((units * F.col("unit_price")).cast("decimal(16,2)"), F.col("net_amount"))).alias("refund_amount"),
-        F.when(rejected, "NOT_APPLICABLE").when(paid, "PROCESSED").when(F.col("l_orderkey") % 3 == 0, "FAILED").otherwise("PENDING").alias("refund_status"),
+    base = _order_lines(spark, sf).where("flag > 0 AND o_orderstatus IN ('F', 'P')").selectExpr(*_LINE_COLUMNS)
+    counted = base.selectExpr("*", "CAST((quantity + 1) DIV 2 AS INT) AS quantity_returned")
+    return counted.selectExpr(
+        "source_name", "'R' || source_order_id AS return_id", "source_line_number AS return_line_number", "source_order_id", "source_line_number",
+        "date_add(order_date, 3 * source_line_number) AS return_date", "'reason ' || (l_partkey % 13) AS return_reason",
+        "CASE WHEN l_orderkey % 11 = 0 THEN 'REJECTED' WHEN flag = 2 THEN 'PROCESSED' WHEN l_orderkey % 2 = 0 THEN 'APPROVED' ELSE 'PENDING' END AS return_status",
+        "quantity_returned",
+        "CASE WHEN l_orderkey % 11 <> 0 AND flag = 2 THEN least(CAST(quantity_returned * unit_price AS DECIMAL(16,2)), net_amount) END AS refund_amount",
+        "CASE WHEN l_orderkey % 11 = 0 THEN 'NOT_APPLICABLE' WHEN flag = 2 THEN 'PROCESSED' WHEN l_orderkey % 3 = 0 THEN 'FAILED' ELSE 'PENDING' END AS refund_status",
     )
 
 
@@ -242,72 +234,41 @@ def dirty(spark: SparkSession, sf: str) -> DataFrame:
     """Channel rows as text with damaged cells, conflicting versions and exact copies."""
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     part = table(spark, sf, "part").select("p_partkey", "p_name", "p_retailprice")
-    lines = spread_small(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount"))
-    base = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(part, F.col("l_partkey") == F.col("p_partkey"))
-    price, qty = F.col("p_retailprice").cast("decimal(14,2)"), F.col("l_quantity").cast("int")
-    gross = (qty * price).cast("decimal(16,2)")
-    base = base.withColumns(
-        {
-            "m": (F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 40,
-            "source": _by_remainder("o_custkey", 4, list(C.CHANNELS)), "price": price, "qty": qty, "gross": gross,
-            "disc": (gross * F.col("l_discount").cast("decimal(4,2)")).cast("decimal(16,2)"),
-            "day": F.col("o_orderdate").cast("date"),
-            "copy": F.explode(F.when((F.col("l_orderkey") + F.col("l_linenumber")) % 9 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))),
-        }
+    rows = lines(spark, sf, "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount")
+    base = rows.join(orders, F.expr("l_orderkey = o_orderkey")).join(part, F.expr("l_partkey = p_partkey")).selectExpr(
+        "*", "(l_orderkey * 7 + l_linenumber) % 40 AS m", "CASE o_custkey % 4 WHEN 0 THEN 'shopee' WHEN 1 THEN 'tokopedia' WHEN 2 THEN 'website' ELSE 'offline' END AS source",
+        "CAST(p_retailprice AS DECIMAL(14,2)) AS price", "CAST(l_quantity AS INT) AS qty", "CAST(o_orderdate AS DATE) AS day",
+        "explode(CASE WHEN (l_orderkey + l_linenumber) % 9 = 0 THEN array(0, 1) ELSE array(0) END) AS copy",
     )
-    m, source, text = F.col("m"), F.col("source"), lambda c: (F.col(c) if isinstance(c, str) else c).cast("string")
-    market, web, shop = source.isin("shopee", "tokopedia"), source == "website", source == "offline"
-    copied, cust = F.col("copy") == 1, F.col("o_custkey")
-
-    def damage(cases: dict, default: Column) -> Column:
-        result = None
-        for k, v in cases.items():
-            v = F.lit(v) if isinstance(v, str) else v
-            result = F.when(m == k, v) if result is None else result.when(m == k, v)
-        return result.otherwise(default)
-
+    base = base.selectExpr("*", "CAST(qty * price AS DECIMAL(16,2)) AS gross").selectExpr("*", "CAST(gross * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(16,2)) AS disc")
+    market, web = "source IN ('shopee', 'tokopedia')", "source = 'website'"
     cells = {
-        "order_id": damage({8: ""}, F.concat(F.when(copied, " ").otherwise(""), F.lit("ORD-"), text("l_orderkey"))),
-        "line_number": damage({6: "0", 7: "x"}, text("l_linenumber")),
-        "order_date": damage(
-            {9: "31/02/1998", 10: "N/A"},
-            F.when(source == "shopee", F.date_format("day", "yyyy-MM-dd")).when(source == "tokopedia", F.date_format("day", "dd/MM/yyyy"))
-            .when(web, F.date_format("day", "yyyy-MM-dd'T00:00:00'")).otherwise(F.date_format("day", "dd-MMM-yyyy")),
-        ),
-        "product_input": damage(
-            {17: "Unknown thing", 18: "none"},
-            F.when(web, F.concat(F.lit("sku-"), text("p_partkey")))
-            .when(copied, F.concat(F.upper(F.replace("p_name", F.lit(" "), F.lit("-"))), F.lit(" "), text("p_partkey")))
-            .otherwise(F.concat("p_name", F.lit("_"), text("p_partkey"))),
-        ),
-        "quantity": damage({0: "", 1: "abc", 2: "-1", 3: "1.5", 4: "2147483648", 5: F.concat(text("qty"), F.lit(".0"))}, text("qty")),
-        "unit_price": damage({11: "0", 12: "NaN", 13: "10.123", 14: text((F.col("price") + 1).cast("decimal(14,2)"))}, text("price")),
-        "source_total_amount": F.when(
-            web,
-            damage({22: text((F.col("gross") + F.lit("0.01").cast("decimal(3,2)")).cast("decimal(16,2)")), 23: ""},
-                   F.when(m % 2 == 0, text((F.col("gross") - F.col("disc")).cast("decimal(16,2)"))).otherwise(text("gross"))),
-        ),
-        "customer_name": F.when(market, damage({24: ""}, F.concat(F.lit("Customer "), text("o_custkey")))),
-        "customer_email": F.when(web, damage({28: "a@b", 29: ""}, F.concat(F.lit("c"), text("o_custkey"), F.lit("@mail.example")))),
-        "customer_city": F.when(
-            market,
-            damage({25: "n/a"}, F.when(cust % 3 == 0, " jakarta ").when(cust % 3 == 1, "SURA-BAYA").otherwise(F.concat(F.lit("Town "), text(cust % 50)))),
-        ),
-        "store_name": F.when(shop, F.concat(F.lit("Store "), text(cust % 7))),
-        "store_city": F.when(shop, damage({25: "null"}, F.when(cust % 2 == 0, "DEN pasar").otherwise("Medan"))),
-        "payment_method": F.when(
-            ~web, damage({26: "Barter", 27: ""}, _by_remainder("o_custkey", 5, ["e wallet", "COD ", "credit_card", "cash", "Transfer  Bank"]))
-        ),
-        "status": damage({15: "IN_TRANSIT", 16: " "}, F.when(F.col("o_orderstatus") == "F", "completed").when(F.col("o_orderstatus") == "P", " Returned").otherwise("CANCELLED")),
-        "discount_amount": damage({19: "-5", 20: "999999999", 21: "x1"}, F.when(F.col("disc") == 0, "").otherwise(text("disc"))),
-        "promo_code": F.when(F.col("disc") > 0, F.concat(F.lit("promo"), text(F.col("l_partkey") % 12))).otherwise(""),
+        "order_id": "CASE WHEN m = 8 THEN '' ELSE CASE WHEN copy = 1 THEN ' ' ELSE '' END || 'ORD-' || l_orderkey END",
+        "line_number": "CASE m WHEN 6 THEN '0' WHEN 7 THEN 'x' ELSE CAST(l_linenumber AS STRING) END",
+        "order_date": """CASE WHEN m = 9 THEN '31/02/1998' WHEN m = 10 THEN 'N/A' WHEN source = 'shopee' THEN date_format(day, 'yyyy-MM-dd')
+            WHEN source = 'tokopedia' THEN date_format(day, 'dd/MM/yyyy') WHEN source = 'website' THEN date_format(day, 'yyyy-MM-dd') || 'T00:00:00' ELSE date_format(day, 'dd-MMM-yyyy') END""",
+        "product_input": f"""CASE WHEN m = 17 THEN 'Unknown thing' WHEN m = 18 THEN 'none' WHEN {web} THEN 'sku-' || p_partkey
+            WHEN copy = 1 THEN upper(replace(p_name, ' ', '-')) || ' ' || p_partkey ELSE p_name || '_' || p_partkey END""",
+        "quantity": "CASE m WHEN 0 THEN '' WHEN 1 THEN 'abc' WHEN 2 THEN '-1' WHEN 3 THEN '1.5' WHEN 4 THEN '2147483648' WHEN 5 THEN qty || '.0' ELSE CAST(qty AS STRING) END",
+        "unit_price": "CASE m WHEN 11 THEN '0' WHEN 12 THEN 'NaN' WHEN 13 THEN '10.123' WHEN 14 THEN CAST(CAST(price + 1 AS DECIMAL(14,2)) AS STRING) ELSE CAST(price AS STRING) END",
+        "source_total_amount": f"""CASE WHEN {web} THEN CASE WHEN m = 22 THEN CAST(CAST(gross + 0.01 AS DECIMAL(16,2)) AS STRING) WHEN m = 23 THEN ''
+            WHEN m % 2 = 0 THEN CAST(CAST(gross - disc AS DECIMAL(16,2)) AS STRING) ELSE CAST(gross AS STRING) END END""",
+        "customer_name": f"CASE WHEN {market} THEN CASE WHEN m = 24 THEN '' ELSE 'Customer ' || o_custkey END END",
+        "customer_email": f"CASE WHEN {web} THEN CASE WHEN m = 28 THEN 'a@b' WHEN m = 29 THEN '' ELSE 'c' || o_custkey || '@mail.example' END END",
+        "customer_city": f"CASE WHEN {market} THEN CASE WHEN m = 25 THEN 'n/a' WHEN o_custkey % 3 = 0 THEN ' jakarta ' WHEN o_custkey % 3 = 1 THEN 'SURA-BAYA' ELSE 'Town ' || (o_custkey % 50) END END",
+        "store_name": "CASE WHEN source = 'offline' THEN 'Store ' || (o_custkey % 7) END",
+        "store_city": "CASE WHEN source = 'offline' THEN CASE WHEN m = 25 THEN 'null' WHEN o_custkey % 2 = 0 THEN 'DEN pasar' ELSE 'Medan' END END",
+        "payment_method": f"""CASE WHEN NOT ({web}) THEN CASE WHEN m = 26 THEN 'Barter' WHEN m = 27 THEN '' WHEN o_custkey % 5 = 0 THEN 'e wallet' WHEN o_custkey % 5 = 1 THEN 'COD '
+            WHEN o_custkey % 5 = 2 THEN 'credit_card' WHEN o_custkey % 5 = 3 THEN 'cash' ELSE 'Transfer  Bank' END END""",
+        "status": "CASE WHEN m = 15 THEN 'IN_TRANSIT' WHEN m = 16 THEN ' ' WHEN o_orderstatus = 'F' THEN 'completed' WHEN o_orderstatus = 'P' THEN ' Returned' ELSE 'CANCELLED' END",
+        "discount_amount": "CASE WHEN m = 19 THEN '-5' WHEN m = 20 THEN '999999999' WHEN m = 21 THEN 'x1' WHEN disc = 0 THEN '' ELSE CAST(disc AS STRING) END",
+        "promo_code": "CASE WHEN disc > 0 THEN 'promo' || (l_partkey % 12) ELSE '' END",
     }
-    row = ((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 1000000 + F.col("l_partkey") * 2 + F.col("copy")) * 64 + F.col("qty")
-    out = base.select(
-        "source", F.concat("source", F.lit(".csv")).alias("source_file"), row.alias("source_row_number"),
-        F.lit("0" * 64).alias("source_sha256"), *[v.alias(k) for k, v in cells.items()],
+    out = base.selectExpr(
+        "source", "source || '.csv' AS source_file", "((l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey * 2 + copy) * 64 + qty AS source_row_number",
+        f"'{'0' * 64}' AS source_sha256", *[f"{v} AS {k}" for k, v in cells.items()],
     )
-    return out.withColumn("raw_payload", F.to_json(F.struct("order_id", "line_number", "quantity")))
+    return out.selectExpr("*", "to_json(struct(order_id, line_number, quantity)) AS raw_payload")
 
 
 def products(spark: SparkSession, sf: str) -> DataFrame:

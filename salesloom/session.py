@@ -50,7 +50,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread_small(df: DataFrame) -> DataFrame:
+def spread_small(df: DataFrame, *keys: str) -> DataFrame:
     """Spread an input with fewer splits than cores; one that has enough is left alone."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
