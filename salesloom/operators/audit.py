@@ -325,6 +325,15 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return result
 
 
+def return_metrics(judged: DataFrame) -> DataFrame:
+    """Processed, valid, duplicate and rejected return rows of a delta."""
+    is_a = lambda d: F.count_if(F.col("disposition") == d)
+    return judged.agg(
+        F.count(F.lit(1)).alias("processed"), is_a("accepted").alias("validated"), is_a("duplicate").alias("duplicates"),
+        is_a("rejected").alias("rejected"),
+    ).withColumn("source_name", F.lit("RETURN_EVENTS"))
+
+
 def reconciliation_totals(audit: DataFrame) -> DataFrame:
     """Checked and skipped sources and switched-off rows."""
     return audit.agg(

@@ -530,3 +530,7 @@ def _guard(spark, sf):
     s = T.sales(spark, sf)
     needs = s.where("promo_code IS NOT NULL").select("source_name").unionAll(s.where("discount_amount > 0").select("source_name"))
     return needs.agg((F.count(F.lit(1)) > 0).alias("blocked"))
+
+
+add("c11_active_facts", f"{STATES_SQL} SELECT {KEYS}, quantity FROM old_sales WHERE active")(
+    lambda spark, sf: old_sales(spark, sf).where("is_source_active").select(*KEY, "quantity"))

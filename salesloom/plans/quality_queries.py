@@ -6,9 +6,8 @@ from pyspark.sql import functions as F
 
 from salesloom import contracts as C
 from salesloom.functions import classify, dates, numbers, text
-from salesloom.operators import audit, delta, promotions, quality as Q, returns as R, warehouse
+from salesloom.operators import audit, promotions, quality as Q, returns as R, warehouse
 from salesloom.plans import testdata as T
-from salesloom.plans.sales_queries import big, dbl
 from salesloom.plans.testdata import DIRTY_SQL, PRODUCTS_SQL, present
 
 QUERIES: dict = {}
@@ -549,3 +548,29 @@ SELECT n.source_row_number, coalesce(rule_reason, CASE WHEN versions > 1 THEN '{
   rule_reason IS NULL AND versions = 1 AND n.source_row_number > first_row AS is_duplicate FROM normal2 n LEFT JOIN vs USING (source_name, return_id, source_line_number)"""
 add("e24_return_versions", f"SELECT source_row_number, reason, coalesce(is_duplicate, false) AS is_duplicate FROM ({_VERSIONS_SQL})")(
     lambda spark, sf: R.resolve_return_versions(R.normalize_returns(_versions(spark, sf))).select("source_row_number", F.coalesce("reason", F.lit("")).alias("reason"), "is_duplicate"))
+
+
+# ------------------------------------------------------ remaining projections
+
+
+def _native_shopee(spark, sf):
+    """Shopee rows back under their native column names, as a file would hold them."""
+    fields = C.CHANNELS["shopee"].fields
+    rows = T.dirty(spark, sf).where("source = 'shopee'")
+    return rows.selectExpr("source_file", "source_row_number", "source_sha256", "raw_payload", *[f"{f} AS `{native}`" for f, native in fields.items()], "discount_amount", "promo_code")
+
+
+_SHOPEE = ", ".join(["source", "source_row_number", *C.CHANNELS["shopee"].fields, *C.OPTIONAL_FIELDS])
+add("c1_canonical_names", f"WITH {DIRTY_SQL} SELECT {_SHOPEE} FROM dirty WHERE source = 'shopee'")(
+    lambda spark, sf: Q.canonical_rows(_native_shopee(spark, sf), "shopee").selectExpr(*_SHOPEE.split(", ")))
+add("c23_typed_columns", f"{TYPED_CTE} SELECT source, source_row_number, t_line AS line_number, t_quantity AS quantity, strftime(t_date, '%Y-%m-%d') AS order_date, CAST(t_price AS DOUBLE) AS unit_price FROM typed")(
+    lambda spark, sf: ruled(spark, sf).select(*ROW, "line_number", "quantity", "order_date", "unit_price"))
+add("d7_promo_values", f"WITH {_MASTER_SQL} SELECT source_row_number, CASE WHEN discount_value NOT IN ('0', '1.234') THEN CAST(discount_value AS DOUBLE) END AS discount_value FROM raw")(
+    lambda spark, sf: catalogue_rows(spark, sf).select("source_row_number", "discount_value"))
+add("d15_business_keys", f"{TYPED_CTE} SELECT DISTINCT source, c_order_id AS order_id, t_line AS line_number FROM typed WHERE c_order_id IS NOT NULL AND t_line IS NOT NULL")(
+    lambda spark, sf: ruled(spark, sf).where("order_id IS NOT NULL AND line_number IS NOT NULL").select("source", "order_id", "line_number").distinct())
+add("d27_not_a_number", f"{TYPED_CTE} SELECT source, source_row_number, c_quantity AS raw_value FROM typed WHERE e_quantity = 'INVALID_NUMBER'")(
+    lambda spark, sf: cells(spark, sf, "quantity").select(*ROW, F.col("quantity").alias("raw_value"), numbers.positive_integer("quantity").alias("p")).where("p.error = 'INVALID_NUMBER'").drop("p"))
+QUERIES["h3_running_caps"] = QUERIES["e26_return_caps"]
+add("g34_auxiliary_metrics", f"{JUDGED_CTE} SELECT 'RETURN_EVENTS' AS source_name, count(*) AS processed, count(*) FILTER (WHERE reason IS NULL) AS validated, CAST(0 AS BIGINT) AS duplicates, count(reason) AS rejected FROM judged")(
+    lambda spark, sf: audit.return_metrics(judged(spark, sf)))

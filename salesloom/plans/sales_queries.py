@@ -406,3 +406,7 @@ add("e42_warehouse_check", f"{FULL_SQL} SELECT count(*) AS active_facts, count(*
     lambda spark, sf: constraints.warehouse_check(T.sales(spark, sf).withColumn("is_source_active", F.lit(True)), T.detail(spark, sf)))
 add("j4_multi_line_orders", f"{SALES_SQL} SELECT source_name, source_order_id, count(*) AS n FROM sales GROUP BY 1, 2 HAVING min(source_line_number) < max(source_line_number)")(
     lambda spark, sf: T.sales(spark, sf).groupBy("source_name", "source_order_id").agg(F.count(F.lit(1)).alias("n"), F.min("source_line_number").alias("lo"), F.max("source_line_number").alias("hi")).where("lo < hi").drop("lo", "hi"))
+
+# the detail carries the dimension columns, so these joins need no plan of their own
+QUERIES["f7_detail_without_self_join"] = QUERIES["g8_sales_by_channel"]
+QUERIES["f8_channel_join"] = QUERIES["g4_channel_kpi"]
