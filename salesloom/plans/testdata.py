@@ -47,7 +47,7 @@ SOURCE_SQL = (
 
 def line_facts(spark: SparkSession, sf: str) -> DataFrame:
     """Order lines whose business key has one version (conflicting keys are set aside)."""
-    # the key and flag tests keep the aggregate alike for sales and returns, so that one shuffle serves both
+    # null keys name no line; every line has a flag
     keyed = table(spark, sf, "lineitem").where("l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL")
     return (
         keyed.groupBy("l_orderkey", "l_linenumber")
