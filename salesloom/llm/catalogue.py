@@ -1,7 +1,11 @@
 """Registered queries of this folder: name, function, SQL (None where SQL cannot state the result)."""
 
-from salesloom.llm import near_dup
+from salesloom.llm import decontamination, language_crf, near_dup, packing, secrets
 
 QUERIES = {
+    "op1_secret_forest": (secrets.op1_secret_forest, None),
+    "op4_crf_language": (language_crf.op4_crf_language, None),
+    "op6_column_generation": (packing.op6_column_generation, None),
     "op7_hyperminhash_near_dup": (near_dup.op7_hyperminhash_near_dup, None),
+    "op9_minhash_containment": (decontamination.op9_minhash_containment, decontamination.OP9_SQL),
 }

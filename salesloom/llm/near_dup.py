@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm.shared import Words, by_size, components, mix, spread, stash, stream, table
+from salesloom.llm.shared import Words, by_size, components, mix, small_side, spread, stash, stream, table
 
 BUCKETS = 128
 ROWS = 4
@@ -333,7 +333,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, per_cent: int = 80) -> Da
     supers = stash(components(near.distinct(), "supers").withColumnRenamed("component", "super"), "super")
     total = supers.join(reps.select(F.col("rep").alias("node"), "n"), "node").groupBy("super").agg(F.count("*").alias("rows"), F.sum("n").alias("shingles"))
     blocks = total.select("super", F.greatest(F.ceil(F.col("rows") / BLOCK_ROWS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("long").alias("n_blocks"))
-    text = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string").alias("text")).join(supers.withColumnRenamed("node", "rep"), "rep")
+    text = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string").alias("text")).join(small_side(supers.withColumnRenamed("node", "rep")), "rep")
     full = stash(text.mapInArrow(_sets(shingle), "rep long, super long, regs binary, shingles binary"), "sets")
     links = stash(_in_blocks(full, "super", blocks).groupBy("super", "part").applyInPandas(_verify(per_cent), "a long, b long"), "links")
     group = stash(components(links, "groups"), "group")

@@ -26,6 +26,11 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_side(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """A stored table of short rows, broadcast when it has at most that many rows; the join shuffles beyond."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
