@@ -1,11 +1,16 @@
 """Registered queries of this folder: name, function, SQL (None where SQL cannot state the result)."""
 
-from salesloom.llm import decontamination, language_crf, near_dup, packing, secrets
+from salesloom.llm import decontamination, fingerprints, fixity, language_crf, licenses, maxent_lm, near_dup, packing, secrets, surrogates
 
 QUERIES = {
     "op1_secret_forest": (secrets.op1_secret_forest, None),
+    "op2_surrogates": (surrogates.op2_surrogates, None),
+    "op3_license_dice": (licenses.op3_license_dice, None),
     "op4_crf_language": (language_crf.op4_crf_language, None),
+    "op5_maxent_lm": (maxent_lm.op5_maxent_lm, None),
     "op6_column_generation": (packing.op6_column_generation, None),
     "op7_hyperminhash_near_dup": (near_dup.op7_hyperminhash_near_dup, None),
+    "op8_merkle_audit": (fixity.op8_merkle_audit, fixity.OP8_SQL),
     "op9_minhash_containment": (decontamination.op9_minhash_containment, decontamination.OP9_SQL),
+    "op10_weighted_sampling": (fingerprints.op10_weighted_sampling, None),
 }

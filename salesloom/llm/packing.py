@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import os
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -22,7 +24,8 @@ CHUNK_ROWS = 50_000
 #: Basis changes for each size at most.
 PIVOTS = 3
 GAP = 0.004
-CACHE_WORDS = 1_500_000
+#: Words and parts of words of which a worker keeps the ids.
+CACHE_WORDS, KNOWN_PARTS = 1_500_000, 150_000
 #: Words of these characters alone are split here; any other goes through the tokenizer as a whole.
 PLAIN = regex.compile(r"[!-~À-ÖØ-öø-ɏ]+")
 SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
@@ -41,8 +44,6 @@ class Encoder:
     """Token ids of texts, each distinct word encoded once: white space always separates tokens in this vocabulary."""
 
     def __init__(self, path: str):
-        import json
-
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
@@ -50,7 +51,7 @@ class Encoder:
         self.parts = Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "pre_tokenizer": None, "added_tokens": []}))
         self.special = [x["content"] for x in spec["added_tokens"]]
         self.chars = _byte_chars()
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
         self.clear()
 
     def clear(self) -> None:
@@ -59,23 +60,28 @@ class Encoder:
         self.known.clear()
 
     def _split(self, word: str) -> list[str] | None:
+        if word.isascii() and word.isprintable() and "<|" not in word:
+            low = word.lower()
+            return [low] if low.isalpha() else SPLIT.findall(low)
         if not PLAIN.fullmatch(word) or any(x in word for x in self.special):
             return None
-        low = "".join(c.lower() for c in unicodedata.normalize("NFC", word))
+        low = unicodedata.normalize("NFC", word).lower()
         return SPLIT.findall(low) if PLAIN.fullmatch(low) else None
 
-    def words(self, words: list[bytes]) -> list[list[int]]:
+    def words(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word as 16-bit numbers."""
         texts = [w.decode("utf-8", "replace") for w in words]
         parts = [self._split(w) for w in texts]
+        if len(self.known) > KNOWN_PARTS:
+            self.known.clear()
         new = list({p for x in parts if x for p in x if p not in self.known})
-        if len(self.known) > CACHE_WORDS:
-            self.known = {p: self.known[p] for x in parts if x for p in x if p in self.known}
         shown = [p if p.isascii() else "".join(self.chars[b] for b in p.encode()) for p in new]
         for p, e in zip(new, self.parts.encode_batch_fast(shown, add_special_tokens=False)):
-            self.known[p] = e.ids
+            self.known[p] = np.array(e.ids, np.uint16).tobytes()
         odd = [w for w, x in zip(texts, parts) if x is None]
         rest = iter(self.whole.encode_batch(odd, add_special_tokens=False)) if odd else iter(())
-        return [next(rest).ids if x is None else [i for p in x for i in self.known[p]] for x in parts]
+        known = self.known
+        return [np.array(next(rest).ids, np.uint16).tobytes() if x is None else known[x[0]] if len(x) == 1 else b"".join(known[p] for p in x) for x in parts]
 
     def rows(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, bounds) of the rows' texts, without an end token."""
@@ -88,9 +94,9 @@ class Encoder:
         fresh, where = keys[~have], first[~have]
         if len(fresh):
             ids = self.words([w.text(i) for i in where])
-            size = np.fromiter(map(len, ids), np.int64, len(ids))
+            size = np.fromiter(map(len, ids), np.int64, len(ids)) // 2
             at = len(self.pool) + np.cumsum(size) - size
-            self.pool = np.concatenate([self.pool, np.fromiter((i for x in ids for i in x), np.uint16, int(size.sum()))])
+            self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(ids), np.uint16)])
             every = np.concatenate([self.keys, fresh])
             order = np.argsort(every, kind="stable")
             self.keys, self.at, self.size = every[order], np.concatenate([self.at, at])[order], np.concatenate([self.size, size])[order]
@@ -104,10 +110,17 @@ class Encoder:
 _encoders: dict[str, Encoder] = {}
 
 
+def encoder_of(path: str) -> Encoder:
+    """The worker's own encoder, kept from task to task."""
+    if path not in _encoders:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
+
+
 def _cut(path: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoders.setdefault(path, None) or Encoder(path)
-        _encoders[path] = encoder
+        encoder = encoder_of(path)
         for batch in by_size(batches, "text", 2 << 20):
             ids, bounds = encoder.rows(batch.column("text"))
             row, start, length, crc, total = [], [], [], [], []
