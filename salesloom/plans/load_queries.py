@@ -44,9 +44,9 @@ CONTENT = ["quantity", "net_amount", "sale_status", "product_id", "promo_code"]
 
 
 def new_sales(spark, sf):
-    """Staged rows of this run: two thirds of the orders."""
-    s = T.sales(spark, sf).where("l_orderkey % 3 <> 0")
-    return s.withColumns({"source_record_hash": record_hash(CONTENT), "source_row_number": F.col("l_orderkey") * 10 + F.col("source_line_number")})
+    """Staged rows of this run: two thirds of the orders and those that the facts lack."""
+    s = T.sales(spark, sf).where("l_orderkey % 3 <> 0 OR l_orderkey % 5 = 0")
+    return s.withColumns({"source_record_hash": record_hash(CONTENT), "source_row_number": F.col("l_orderkey") * 1000 + F.col("source_line_number")})
 
 
 def old_sales(spark, sf):
@@ -56,7 +56,7 @@ def old_sales(spark, sf):
     return s.withColumns({"source_record_hash": record_hash(CONTENT), "is_source_active": F.col("l_orderkey") % 13 != 0})
 
 
-STATES_SQL = f"""{SALES_SQL}, new_sales AS (SELECT * FROM sales WHERE l_orderkey % 3 <> 0),
+STATES_SQL = f"""{SALES_SQL}, new_sales AS (SELECT * FROM sales WHERE l_orderkey % 3 <> 0 OR l_orderkey % 5 = 0),
 old_sales AS (SELECT * EXCLUDE (quantity), quantity + CASE WHEN l_orderkey % 7 = 0 THEN 1 ELSE 0 END AS quantity, l_orderkey % 13 <> 0 AS active FROM sales WHERE l_orderkey % 5 <> 0),
 merged AS (SELECT {KEYS}, o.quantity AS oq, n.quantity AS nq, o.active, o.source_order_id IS NOT NULL AND o.quantity IS NOT NULL AS in_old, n.quantity IS NOT NULL AS in_new
   FROM old_sales o FULL OUTER JOIN new_sales n USING ({KEYS}))"""
@@ -142,10 +142,10 @@ def old_returns(spark, sf):
 
 
 def new_returns(spark, sf):
-    return T.returns(spark, sf).where(order_no() % 3 != 0).withColumn("source_record_hash", record_hash(R.EVENT_FIELDS))
+    return T.returns(spark, sf).where((order_no() % 3 != 0) | (order_no() % 5 == 0)).withColumn("source_record_hash", record_hash(R.EVENT_FIELDS))
 
 
-RSTATES_SQL = f"""{RETURN_SQL}, new_r AS (SELECT * FROM return_facts WHERE CAST(source_order_id AS BIGINT) % 3 <> 0),
+RSTATES_SQL = f"""{RETURN_SQL}, new_r AS (SELECT * FROM return_facts WHERE CAST(source_order_id AS BIGINT) % 3 <> 0 OR CAST(source_order_id AS BIGINT) % 5 = 0),
 old_r AS (SELECT * EXCLUDE (quantity_returned), quantity_returned + CASE WHEN CAST(source_order_id AS BIGINT) % 7 = 0 THEN 1 ELSE 0 END AS quantity_returned FROM return_facts WHERE CAST(source_order_id AS BIGINT) % 5 <> 0),
 rm AS (SELECT {RKEYS}, o.quantity_returned AS oq, n.quantity_returned AS nq FROM old_r o FULL OUTER JOIN new_r n USING ({RKEYS}))"""
 _RACT = "CASE WHEN oq IS NULL THEN 'insert' WHEN nq IS NOT NULL AND oq <> nq THEN 'update' ELSE 'keep' END"
@@ -174,12 +174,12 @@ def rejected_returns(spark, sf):
     return r.select(
         F.when(order_no() % 4 == 0, "nowhere").when(F.col("source_name") == "OFFLINE_STORE", " offline ").otherwise(F.lower("source_name")).alias("source_name"),
         F.concat(F.lit(" "), F.col("return_id")).alias("return_id"), F.when(order_no() % 2 == 0, "x").otherwise(F.col("return_line_number").cast("string")).alias("return_line_number"),
-        (order_no() * 10 + F.col("return_line_number")).alias("source_row_number"), F.lit("bad").alias("rejection_reason"),
+        (order_no() * 1000 + F.col("return_line_number")).alias("source_row_number"), F.lit("bad").alias("rejection_reason"),
     )
 
 
 add("f13_return_corrections", f"""{RSTATES_SQL}, p AS (SELECT CASE WHEN CAST(source_order_id AS BIGINT) % 4 <> 0 THEN source_name END AS ps, return_id AS pid,
-   CASE WHEN CAST(source_order_id AS BIGINT) % 2 <> 0 THEN return_line_number END AS pl, CAST(source_order_id AS BIGINT) * 10 + return_line_number AS rn FROM return_facts WHERE CAST(source_order_id AS BIGINT) % 3 = 1)
+   CASE WHEN CAST(source_order_id AS BIGINT) % 2 <> 0 THEN return_line_number END AS pl, CAST(source_order_id AS BIGINT) * 1000 + return_line_number AS rn FROM return_facts WHERE CAST(source_order_id AS BIGINT) % 3 = 1)
 SELECT 'RETURN_EVENTS' AS source_name, f.source_name || ':' || f.return_id AS source_order_id, f.return_line_number AS source_line_number, max(rn) AS source_row_number, 'bad' AS rejection_reason
 FROM old_r f JOIN p ON p.pid = f.return_id AND coalesce(ps, f.source_name) = f.source_name AND coalesce(pl, f.return_line_number) = f.return_line_number GROUP BY 1, 2, 3""")(
     lambda spark, sf: delta.return_corrections(rejected_returns(spark, sf), old_returns(spark, sf)))
@@ -307,7 +307,7 @@ def _customers(spark, sf):
     s = T.sales(spark, sf)
     staged = s.select(
         F.concat(F.lit("NK-"), F.col("o_custkey").cast("string")).alias("customer_nk"), "source_name",
-        (F.col("l_orderkey") * 10 + F.col("source_line_number")).alias("source_row_number"),
+        (F.col("l_orderkey") * 1000 + F.col("source_line_number")).alias("source_row_number"),
         F.when(F.col("l_orderkey") % 3 != 0, F.col("customer_name")).alias("customer_name"), F.when(F.col("l_orderkey") % 2 == 0, F.col("city")).alias("city"),
     )
     c = T.table(spark, sf, "customer").where("c_custkey % 3 <> 0")
@@ -316,14 +316,14 @@ def _customers(spark, sf):
     return old, staged
 
 
-add("b9_dim_customer_merge", f"""{SALES_SQL}, b AS (SELECT 'NK-' || o_custkey AS customer_nk, arg_max(customer_name, l_orderkey * 10 + source_line_number) FILTER (WHERE l_orderkey % 3 <> 0 AND customer_name <> '') AS n,
-  arg_max(city, l_orderkey * 10 + source_line_number) FILTER (WHERE l_orderkey % 2 = 0 AND city <> '') AS c FROM sales GROUP BY 1),
+add("b9_dim_customer_merge", f"""{SALES_SQL}, b AS (SELECT 'NK-' || o_custkey AS customer_nk, arg_max(customer_name, l_orderkey * 1000 + source_line_number) FILTER (WHERE l_orderkey % 3 <> 0 AND customer_name <> '') AS n,
+  arg_max(city, l_orderkey * 1000 + source_line_number) FILTER (WHERE l_orderkey % 2 = 0 AND city <> '') AS c FROM sales GROUP BY 1),
 o AS (SELECT 'NK-' || c_custkey AS customer_nk, 'Old name' AS on_, 'Old town' AS oc FROM customer WHERE c_custkey % 3 <> 0)
 SELECT customer_nk, CASE WHEN on_ IS NULL THEN n ELSE coalesce(n, on_) END AS customer_name,
   CASE WHEN on_ IS NULL THEN c WHEN c IS NULL OR lower(trim(c)) IN ('', 'nan', 'none', 'null', 'n/a', 'na') THEN oc ELSE c END AS city FROM o FULL OUTER JOIN b USING (customer_nk)""")(
     lambda spark, sf: W.merge_customers(*_customers(spark, sf)).select("customer_nk", "customer_name", "city"))
-add("h6_last_known", f"""{SALES_SQL} SELECT 'NK-' || o_custkey AS customer_nk, arg_max(customer_name, l_orderkey * 10 + source_line_number) FILTER (WHERE l_orderkey % 3 <> 0 AND customer_name <> '') AS customer_name,
-  arg_max(city, l_orderkey * 10 + source_line_number) FILTER (WHERE l_orderkey % 2 = 0 AND city <> '') AS city FROM sales GROUP BY 1""")(
+add("h6_last_known", f"""{SALES_SQL} SELECT 'NK-' || o_custkey AS customer_nk, arg_max(customer_name, l_orderkey * 1000 + source_line_number) FILTER (WHERE l_orderkey % 3 <> 0 AND customer_name <> '') AS customer_name,
+  arg_max(city, l_orderkey * 1000 + source_line_number) FILTER (WHERE l_orderkey % 2 = 0 AND city <> '') AS city FROM sales GROUP BY 1""")(
     lambda spark, sf: W.batch_customers(_customers(spark, sf)[1]))
 add("b10_dim_payment_merge", f"{SALES_SQL} SELECT DISTINCT payment_method FROM sales")(
     lambda spark, sf: W.merge_payments(T.sales(spark, sf).where("l_orderkey % 100 = 1").select("payment_method").distinct().withColumn("payment_key", F.xxhash64("payment_method")), T.sales(spark, sf)).select("payment_method"))
@@ -349,7 +349,7 @@ def dims(spark, sf):
     """Dimensions merged from nothing out of the sale lines."""
     s = T.sales(spark, sf)
     staged = s.select("order_date", "payment_method", F.concat(F.lit("NK-"), F.col("o_custkey").cast("string")).alias("customer_nk"), "customer_name", "city", "source_name",
-                      (F.col("l_orderkey") * 10 + F.col("source_line_number")).alias("source_row_number"))
+                      (F.col("l_orderkey") * 1000 + F.col("source_line_number")).alias("source_row_number"))
     products = T.table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("sku"), F.col("p_name").alias("product_name"), F.col("p_brand").alias("brand"), F.col("p_type").alias("category"), F.col("p_retailprice").cast("decimal(14,2)").alias("price"))
     empty = lambda n: W.empty(spark, W.DIM_SCHEMAS[n])
     return {
@@ -362,7 +362,7 @@ def dims(spark, sf):
 def star_facts(spark, sf):
     staged = T.sales(spark, sf).withColumns(
         {
-            "mapped_sku": F.col("product_id"), "source_row_number": F.col("l_orderkey") * 10 + F.col("source_line_number"), "source_record_hash": record_hash(CONTENT),
+            "mapped_sku": F.col("product_id"), "source_row_number": F.col("l_orderkey") * 1000 + F.col("source_line_number"), "source_record_hash": record_hash(CONTENT),
             "customer_nk": F.when(F.col("o_custkey") % 6 != 0, F.concat(F.lit("NK-"), F.col("o_custkey").cast("string"))),
             "payment_method": F.when(F.col("o_custkey") % 8 != 0, F.col("payment_method")),
         }
@@ -434,17 +434,17 @@ def _upgraded(spark, sf):
 
 def raw_index(spark, sf):
     """Raw records of three runs per source row."""
-    s = T.sales(spark, sf).select("source_name", (F.col("l_orderkey") * 10 + F.col("source_line_number")).alias("source_row_number"), "l_orderkey")
+    s = T.sales(spark, sf).select("source_name", (F.col("l_orderkey") * 1000 + F.col("source_line_number")).alias("source_row_number"), "l_orderkey")
     s = s.withColumn("r", F.explode(F.when(F.col("l_orderkey") % 4 == 0, F.array(F.lit(0), F.lit(1), F.lit(2))).otherwise(F.array(F.lit(0), F.lit(1)))))
     return s.select("source_name", "source_row_number", F.concat(F.lit("r"), F.col("r").cast("string")).alias("ingestion_run_id"), F.timestamp_add("DAY", F.col("r"), before()).alias("loaded_at"),
                     F.concat_ws("/", F.concat(F.lit("r"), F.col("r").cast("string")), F.col("source_row_number").cast("string")).alias("raw_record_id"))
 
 
-add("f16_raw_lineage", f"{STATES_SQL} SELECT {KEYS}, CASE WHEN l_orderkey % 4 = 0 THEN 'r2/' ELSE 'r1/' END || (l_orderkey * 10 + source_line_number) AS source_raw_record_id FROM new_sales")(
+add("f16_raw_lineage", f"{STATES_SQL} SELECT {KEYS}, CASE WHEN l_orderkey % 4 = 0 THEN 'r2/' ELSE 'r1/' END || (l_orderkey * 1000 + source_line_number) AS source_raw_record_id FROM new_sales")(
     lambda spark, sf: W.with_raw_lineage(new_sales(spark, sf).select(*KEY, "source_row_number"), raw_index(spark, sf), "r2").select(*KEY, "source_raw_record_id"))
-add("h5_latest_raw", f"{STATES_SQL} SELECT source_name, l_orderkey * 10 + source_line_number AS source_row_number, CASE WHEN l_orderkey % 4 = 0 THEN 'r2' ELSE 'r1' END AS ingestion_run_id FROM sales")(
+add("h5_latest_raw", f"{STATES_SQL} SELECT source_name, l_orderkey * 1000 + source_line_number AS source_row_number, CASE WHEN l_orderkey % 4 = 0 THEN 'r2' ELSE 'r1' END AS ingestion_run_id FROM sales")(
     lambda spark, sf: raw_index(spark, sf).groupBy("source_name", "source_row_number").agg(F.max_by("ingestion_run_id", "loaded_at").alias("ingestion_run_id")))
-add("i16_newest_raw", f"{SALES_SQL} SELECT source_name, l_orderkey * 10 + source_line_number AS source_row_number FROM sales WHERE l_orderkey % 4 = 0 ORDER BY 2 DESC LIMIT 20")(
+add("i16_newest_raw", f"{SALES_SQL} SELECT source_name, l_orderkey * 1000 + source_line_number AS source_row_number FROM sales WHERE l_orderkey % 4 = 0 ORDER BY 2 DESC LIMIT 20")(
     lambda spark, sf: _newest(spark, sf))
 
 
@@ -468,7 +468,7 @@ def _declarations(spark, sf):
 
 def _snapshot_rows(spark, sf):
     """Snapshot of this run; the second channel holds a row that cannot be identified."""
-    s = T.sales(spark, sf).where("l_orderkey % 3 <> 0")
+    s = T.sales(spark, sf).where("l_orderkey % 3 <> 0 OR l_orderkey % 5 = 0")
     keys = F.create_map(*[F.lit(x) for k, c in C.CHANNELS.items() for x in (c.code, k)])
     bad = (F.col("source_name") == "TOKOPEDIA") & (F.col("l_orderkey") % 50 == 1)
     return s.select(keys[F.col("source_name")].alias("source"), F.concat(F.lit(" "), F.col("source_order_id")).alias("order_id"),
@@ -477,7 +477,7 @@ def _snapshot_rows(spark, sf):
 
 def _reconciled(spark, sf):
     keys = delta.snapshot_keys(_snapshot_rows(spark, sf))
-    expected = T.sales(spark, sf).where("l_orderkey % 3 <> 0").groupBy("source_name").agg(F.count(F.lit(1)).alias("source_records"))
+    expected = T.sales(spark, sf).where("l_orderkey % 3 <> 0 OR l_orderkey % 5 = 0").groupBy("source_name").agg(F.count(F.lit(1)).alias("source_records"))
     status = delta.snapshot_status(keys, _declarations(spark, sf), expected)
     facts = old_sales(spark, sf).select(*KEY, "quantity", "is_source_active")
     return status, delta.reconcile_facts(facts, keys, status)

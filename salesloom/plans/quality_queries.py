@@ -411,7 +411,7 @@ def _checked_sales(spark, sf):
 # Return files: up to three events per sale line, damaged on fixed residues.
 _R = C.RETURN_REASONS
 RETURN_ROWS_SQL = """raw_returns AS (
-  SELECT (l_orderkey * 10 + source_line_number) * 10 + e AS source_row_number, (l_orderkey * 7 + source_line_number * 3 + e) % 60 AS m, s.*, e,
+  SELECT (l_orderkey * 1000 + source_line_number) * 10 + e AS source_row_number, (l_orderkey * 7 + source_line_number * 3 + e) % 60 AS m, s.*, e,
     CASE WHEN (l_orderkey * 7 + source_line_number * 3 + e) % 60 = 0 THEN 'LAZADA' WHEN source_name = 'OFFLINE_STORE' AND e = 2 THEN 'offline' ELSE lower(source_name) END AS r_source,
     CASE WHEN m60 = 1 THEN '' ELSE 'RET-' || source_order_id || '-' || e END AS return_id,
     CASE WHEN m60 = 2 THEN '0' ELSE CAST(source_line_number AS VARCHAR) END AS return_line,
@@ -425,7 +425,6 @@ RETURN_ROWS_SQL = """raw_returns AS (
     CASE WHEN m60 = 11 THEN '' WHEN m60 = 12 THEN 'abc' WHEN m60 = 13 THEN '-3' WHEN m60 = 14 THEN '1.001' WHEN m60 = 15 THEN '999999999999999.00'
          WHEN m60 = 9 OR m60 % 7 NOT IN (3, 4, 5) THEN CAST(CAST(net_amount / 2 AS DECIMAL(16,2)) AS VARCHAR) WHEN m60 = 17 THEN '5' ELSE '' END AS refund
   FROM (SELECT s.*, e, (l_orderkey * 7 + source_line_number * 3 + e) % 60 AS m60 FROM sales s, (VALUES (1), (2), (3)) AS t(e)) s
-  WHERE l_orderkey % 4 <> 3
 )"""
 _refund_num = "TRY_CAST(refund AS DECIMAL(30, 8))"
 NORMAL_SQL = f"""normal AS (
@@ -462,7 +461,7 @@ JUDGED_CTE = f"{RETURN_CTE},{CAPS_SQL}"
 
 def return_rows(spark, sf):
     """Return file rows as text, three events per sale line, damaged on fixed residues."""
-    s = T.sales(spark, sf).where("l_orderkey % 4 <> 3").withColumn("e", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))))
+    s = T.sales(spark, sf).withColumn("e", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))))
     order, line, e = F.col("source_order_id"), F.col("source_line_number"), F.col("e")
     m = (F.col("l_orderkey") * 7 + line * 3 + e) % 60
     half = F.round(F.col("net_amount") / 2, 2).cast("decimal(16,2)").cast("string")
@@ -481,7 +480,7 @@ def return_rows(spark, sf):
         "refund_amount": F.when(m == 11, "").when(m == 12, "abc").when(m == 13, "-3").when(m == 14, "1.001").when(m == 15, "999999999999999.00")
         .when(paid, half).when(m == 17, "5").otherwise(""),
     }
-    row = ((F.col("l_orderkey") * 10 + line) * 10 + e).alias("source_row_number")
+    row = ((F.col("l_orderkey") * 1000 + line) * 10 + e).alias("source_row_number")
     return s.select(row, F.to_json(F.struct(*[v.alias(k) for k, v in cells.items()])).alias("raw_payload"), *[cells[c].alias(c) for c in C.RETURN_COLUMNS])
 
 

@@ -46,17 +46,16 @@ SOURCE_SQL = (
 
 
 def line_facts(spark: SparkSession, sf: str) -> DataFrame:
-    """Order lines whose business key has one version (conflicting keys are set aside)."""
-    # null keys name no line; every line has a flag
+    """Every order line, numbered within its order; rows that share a line number stay apart.
+
+    Null order keys or line numbers name no line. The number follows from all columns used, and the order key deals
+    the rows as the join with the orders needs them.
+    """
     keyed = table(spark, sf, "lineitem").where("l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL")
-    return (
-        keyed.groupBy("l_orderkey", "l_linenumber")
-        .agg(
-            F.expr("count(1) AS versions"), F.expr("min(l_partkey) AS l_partkey"), F.expr("min(CAST(l_quantity AS INT)) AS quantity"),
-            F.expr("min(CAST(l_discount AS DECIMAL(4,2))) AS rate"),
-            F.expr("min(CASE l_returnflag WHEN 'A' THEN 1 WHEN 'R' THEN 2 ELSE 0 END) AS flag"),
-        )
-        .where("versions = 1 AND flag >= 0")
+    return keyed.selectExpr(
+        "l_orderkey", "CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_quantity, l_discount, l_returnflag) AS INT) AS l_linenumber",
+        "l_partkey", "CAST(l_quantity AS INT) AS quantity", "CAST(l_discount AS DECIMAL(4,2)) AS rate",
+        "CASE l_returnflag WHEN 'A' THEN 1 WHEN 'R' THEN 2 ELSE 0 END AS flag",
     )
 
 
@@ -83,9 +82,9 @@ _LINE_COLUMNS = (
 
 LINES_SQL = """
 line_facts AS (
-  SELECT l_orderkey, l_linenumber, min(l_partkey) AS l_partkey, min(CAST(l_quantity AS INTEGER)) AS quantity,
-         min(CAST(l_discount AS DECIMAL(4,2))) AS rate, min(l_returnflag) AS flag
-  FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) = 1
+  SELECT l_orderkey, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_quantity, l_discount, l_returnflag) AS INTEGER) AS l_linenumber,
+         l_partkey, CAST(l_quantity AS INTEGER) AS quantity, CAST(l_discount AS DECIMAL(4,2)) AS rate, l_returnflag AS flag
+  FROM lineitem WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
 ),
 order_lines AS (
   SELECT *, CAST(p_retailprice AS DECIMAL(14,2)) AS unit_price,
