@@ -8,6 +8,8 @@ and extra zeros take the general rules in the other branch.
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column, functions as F
 
 from salesloom.contracts import INT_MAX, MONEY_MAX
@@ -16,24 +18,42 @@ _PLAIN_MONEY = r"r'^\d{1,9}(\.\d{1,2})?\z'"
 _PLAIN_INTEGER = r"r'^\d{1,9}\z'"
 
 
+def _decimal_digits() -> tuple[str, str]:
+    """All decimal digits outside ASCII and the ASCII ones of equal value."""
+    digits = [chr(c) for c in range(128, 0x10000) if unicodedata.category(chr(c)) == "Nd"]
+    return "".join(digits), "".join(str(unicodedata.decimal(c)) for c in digits)
+
+
+_DIGITS, _VALUES = _decimal_digits()
+
+
+def ascii_digits_sql(x: str) -> str:
+    return rf"CASE WHEN {x} RLIKE r'[^\x00-\x7F]' THEN translate({x}, '{_DIGITS}', '{_VALUES}') ELSE {x} END"
+
+
 class _General:
-    """SQL tests on a cleaned text in any accepted notation."""
+    """SQL tests on a cleaned text in any accepted notation.
+
+    The value is 0.core times ten to the power of point, core being the digits without zeros at either end: range and
+    precision are counted on them as text, exactly at any exponent.
+    """
 
     def __init__(self, x: str):
-        self.text = f"replace({x}, '_', '')"
-        t = self.text
+        t = self.text = f"replace({ascii_digits_sql(x)}, '_', '')"
         self.is_number = rf"{t} RLIKE r'^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\z'"
         self.is_zero = rf"{t} RLIKE r'^[+-]?[0.]+([eE][+-]?\d+)?\z'"
         self.is_negative = f"(startswith({t}, '-') AND NOT {self.is_zero})"
-        self.wide = f"try_cast({t} AS DECIMAL(38,18))"
-        w = self.wide
-        self.two_decimals = (
-            f"CASE WHEN {t} RLIKE '[eE]' THEN {self.is_zero} OR ({w} <> 0 AND {w} = round({w}, 2)) "
-            rf"ELSE {t} RLIKE r'^[+-]?\d*(\.\d{{0,2}}0*)?\z' END"
-        )
-        self.whole = (
-            f"CASE WHEN {t} RLIKE '[eE]' THEN {w} <> 0 AND {w} = floor({w}) ELSE {t} RLIKE " + r"r'^[+-]?\d*(\.0*)?\z' END"
-        )
+        mantissa = f"regexp_replace({t}, '[eE].*$|[+-]', '')"
+        exponent = rf"CASE WHEN {t} RLIKE '[eE]' THEN try_cast(regexp_extract({t}, r'[eE]([+-]?\d+)$', 1) AS INT) ELSE 0 END"
+        digits = f"trim(TRAILING '0' FROM replace({mantissa}, '.', ''))"
+        core = f"trim(LEADING '0' FROM {digits})"
+        point = f"(CAST(length(substring_index({mantissa}, '.', 1)) AS BIGINT) + {exponent} - length({digits}) + length({core}))"
+        decimals = f"(length({core}) - {point})"
+        self.two_decimals = f"coalesce({self.is_zero} OR {decimals} <= 2, false)"
+        self.whole = f"coalesce({self.is_zero} OR {decimals} <= 0, false)"
+        whole = f"CASE WHEN {point} > 0 THEN rpad(substring({core}, 1, CAST({point} AS INT)), CAST({point} AS INT), '0') ELSE '0' END"
+        part = f"CASE WHEN {point} >= 0 THEN substring({core}, CAST({point} AS INT) + 1) ELSE repeat('0', CAST(-{point} AS INT)) || {core} END"
+        self.wide = f"CASE WHEN {point} BETWEEN -2 AND 20 AND {decimals} <= 2 THEN try_cast({whole} || '.' || {part} AS DECIMAL(38,18)) END"
 
     def within(self, limit) -> str:
         return f"({self.is_zero} OR coalesce({self.wide} <= CAST('{limit}' AS DECIMAL(38,18)), false))"
@@ -89,7 +109,8 @@ def accepted_sql(parsed: str) -> str:
 
 def line_sql(x: str) -> str:
     """Decimal digits only, 1 to 2147483647; null otherwise."""
-    return rf"CASE WHEN {x} RLIKE r'^\d+\z' AND try_cast({x} AS INT) > 0 THEN try_cast({x} AS INT) END"
+    d = ascii_digits_sql(x)
+    return rf"CASE WHEN {d} RLIKE r'^\d+\z' AND try_cast({d} AS INT) > 0 THEN try_cast({d} AS INT) END"
 
 
 def positive_money(cleaned: str) -> Column:

@@ -10,8 +10,9 @@ the commit only.
 from __future__ import annotations
 
 import json
+import time
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -42,13 +43,20 @@ class Run:
     started: datetime
     counters: dict = field(default_factory=dict)
     stages: list = field(default_factory=list)
+    clock: float = field(default_factory=time.monotonic)
 
     @property
     def now(self):
         return F.lit(self.started).cast("timestamp")
 
+    def elapsed(self) -> datetime:
+        """The run's start and the seconds that passed since."""
+        return self.started + timedelta(seconds=time.monotonic() - self.clock)
+
     def stage(self, name: str, records: int = 0) -> None:
-        self.stages.append((self.run_id, name, "SUCCESS", self.started, self.started, 0, int(records), None))
+        """A stage that ends now and began where the one before it ended."""
+        began, ended = self.stages[-1][4] if self.stages else self.started, self.elapsed()
+        self.stages.append((self.run_id, name, "SUCCESS", began, ended, round((ended - began).total_seconds()), int(records), None))
 
 
 def run_batch(spark: SparkSession, folder: str, root: str, run_id: str, now: datetime) -> dict:
@@ -57,7 +65,7 @@ def run_batch(spark: SparkSession, folder: str, root: str, run_id: str, now: dat
     try:
         _load(run)
     except Exception as error:
-        _write_run(run, "FAILED", str(error)[:2000])
+        _write_run(run, "FAILED", str(error))
         raise
     return run.counters
 
@@ -340,7 +348,7 @@ def _write_run(run: Run, status: str, error: str | None) -> None:
     names = [f.name for f in run.spark.createDataFrame([], SCHEMAS["pipeline_runs"]).schema.fields]
     values = {
         **{n: int(c[n]) for n in names if n in c}, "run_id": run.run_id, "pipeline_name": C.PIPELINE_NAME, "started_at": run.started,
-        "ended_at": run.started, "status": status, "error_message": error, "report_summary": json.dumps(c, default=str),
+        "ended_at": run.elapsed(), "status": status, "error_message": error, "report_summary": json.dumps(c, default=str),
         "validated_records": c.get("valid_records"), "rejected_records": c.get("invalid_records"),
     }
     row = [tuple(values.get(n) for n in names)]

@@ -269,9 +269,10 @@ def cells(spark, sf, *columns):
 _cells = "SELECT source, source_row_number, "
 add("d1_clean_text", f"WITH {DIRTY_SQL},{CLEANED_SQL} {_cells} c_product_input AS product, c_customer_city AS city, c_status AS status FROM cleaned")(
     lambda spark, sf: T.dirty(spark, sf).select(*ROW, text.clean_text("product_input").alias("product"), text.clean_text("customer_city").alias("city"), text.clean_text("status").alias("status")))
-add("d1_clean_documents", f"SELECT doc_id, length({clean('text')}) AS chars, md5({clean('text')}) AS digest FROM documents WHERE regexp_full_match(text, '[\\x00-\\x7F]*') AND NOT regexp_matches(text, '[\\x1c-\\x1f]')")(
-    lambda spark, sf: T.table(spark, sf, "documents").where(~F.col("text").rlike(r"[^\x00-\x7F]") & ~F.col("text").rlike(r"[\x1c-\x1f]"))
-    .select("doc_id", F.length(text.clean_text("text")).cast("bigint").alias("chars"), F.md5(text.clean_text("text")).alias("digest")))
+_composed = "trim(regexp_replace(nfc_normalize(text), '[\\s\\x1c-\\x1f\\x{85}\\p{Z}]+', ' ', 'g'))"  # the texts hold no compatibility character
+_document = f"CASE WHEN lower({_composed}) NOT IN {MARKERS} THEN {_composed} END"
+add("d1_clean_documents", f"SELECT doc_id, length({_document}) AS chars, md5({_document}) AS digest FROM documents")(
+    lambda spark, sf: T.table(spark, sf, "documents").select("doc_id", F.length(text.clean_text("text")).cast("bigint").alias("chars"), F.md5(text.clean_text("text")).alias("digest")))
 add("d2_match_keys", f"WITH {DIRTY_SQL},{CLEANED_SQL} {_cells} {key_of('c_product_input')} AS product_key, {key_of('c_payment_method')} AS payment_key FROM cleaned")(
     lambda spark, sf: T.dirty(spark, sf).select(*ROW, text.match_key("product_input").alias("product_key"), text.match_key("payment_method").alias("payment_key")))
 add("d3_numbers", f"{TYPED_CTE} {_cells} t_quantity AS quantity, e_quantity AS quantity_error, CAST(t_price AS DOUBLE) AS price, e_unit_price AS price_error FROM typed")(
@@ -552,16 +553,23 @@ add("e24_return_versions", f"SELECT source_row_number, reason, coalesce(is_dupli
 # ------------------------------------------------------ remaining projections
 
 
-def _native_shopee(spark, sf):
-    """Shopee rows back under their native column names, as a file would hold them."""
-    fields = C.CHANNELS["shopee"].fields
-    rows = T.dirty(spark, sf).where("source = 'shopee'")
+def _native(spark, sf, channel):
+    """A channel's rows back under their native column names, as its file would hold them."""
+    fields = C.CHANNELS[channel].fields
+    rows = T.dirty(spark, sf).where(F.col("source") == channel)
     return rows.selectExpr("source_file", "source_row_number", "source_sha256", "raw_payload", *[f"{f} AS `{native}`" for f, native in fields.items()], "discount_amount", "promo_code")
 
 
-_SHOPEE = ", ".join(["source", "source_row_number", *C.CHANNELS["shopee"].fields, *C.OPTIONAL_FIELDS])
-add("c1_canonical_names", f"WITH {DIRTY_SQL} SELECT {_SHOPEE} FROM dirty WHERE source = 'shopee'")(
-    lambda spark, sf: Q.canonical_rows(_native_shopee(spark, sf), "shopee").selectExpr(*_SHOPEE.split(", ")))
+def _canonical(spark, sf):
+    parts = [Q.canonical_rows(_native(spark, sf, channel), channel).select("source", "source_row_number", *C.CANONICAL_FIELDS) for channel in C.CHANNELS]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+_CANONICAL = ", ".join(f"CASE WHEN source IN ({', '.join(repr(k) for k, c in C.CHANNELS.items() if f in c.fields or f in C.OPTIONAL_FIELDS)}) THEN {f} END AS {f}" for f in C.CANONICAL_FIELDS)
+add("c1_canonical_names", f"WITH {DIRTY_SQL} SELECT source, source_row_number, {_CANONICAL} FROM dirty")(_canonical)
 add("c23_typed_columns", f"{TYPED_CTE} SELECT source, source_row_number, t_line AS line_number, t_quantity AS quantity, strftime(t_date, '%Y-%m-%d') AS order_date, CAST(t_price AS DOUBLE) AS unit_price FROM typed")(
     lambda spark, sf: ruled(spark, sf).select(*ROW, "line_number", "quantity", "order_date", "unit_price"))
 add("d7_promo_values", f"WITH {_MASTER_SQL} SELECT source_row_number, CASE WHEN discount_value NOT IN ('0', '1.234') THEN CAST(discount_value AS DOUBLE) END AS discount_value FROM raw")(
