@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesloom.llm.shared import Words, by_size, components, mix, small_side, spread, stash, stream, table
@@ -311,6 +311,41 @@ def _verify(per_cent: int):
     return run
 
 
+def _blocks(here: Column) -> Column:
+    """Blocks that the rows under this condition need, by their number and their shingles."""
+    rows, held = F.sum(F.when(here, 1).otherwise(0)), F.sum(F.when(here, F.col("n")).otherwise(0))
+    return F.greatest(F.ceil(rows / BLOCK_ROWS), F.ceil(held / BLOCK_SHINGLES)).cast("long")
+
+
+def _links(full: DataFrame, sized: DataFrame, per_cent: int) -> DataFrame:
+    """Confirmed links (a, b) of all candidate groups. full: (rep, super, regs, shingles), sized: (node, super, n).
+
+    First each row meets its own block and every block also meets the group's smallest row, so a group of mutual copies
+    hangs together after one pass in which a row travels once. Then the rows that are not connected with the smallest
+    one, and they alone, meet all blocks of their group.
+    """
+    verify = _verify(per_cent)
+    blocks = stash(sized.groupBy("super").agg(_blocks(F.lit(True)).alias("n_blocks")), "blocks")
+    block = F.pmod(F.xxhash64("rep"), F.col("n_blocks"))
+    parts = F.when(F.col("rep") == F.col("super"), F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)).otherwise(F.array(block))
+    own = full.join(blocks, "super").withColumn("part", F.explode(parts)).withColumn("side", F.lit(0)).drop("n_blocks")
+    first = stash(own.groupBy("super", "part").applyInPandas(verify, "a long, b long"), "links")
+    wide = blocks.where("n_blocks > 1").select("super")
+    if wide.isEmpty():
+        return first
+    joined = components(first, "joined").withColumnRenamed("component", "least")
+    state = sized.join(wide, "super").join(joined, "node", "left").select(F.col("node").alias("rep"), "super", "n", (F.coalesce("least", "node") != F.col("super")).alias("rest"))
+    state = stash(state, "state")
+    need = state.groupBy("super").agg(_blocks(F.col("rest")).alias("r"), _blocks(~F.col("rest")).alias("m")).where("r > 0")
+    hashed, zero, every = F.xxhash64("rep"), F.lit(0).cast("long"), F.col("r") + F.col("m")
+    block = F.when(F.col("rest"), F.pmod(hashed, F.col("r"))).otherwise(F.col("r") + F.pmod(hashed, F.col("m")))
+    others = F.sequence(zero, F.when(F.col("rest"), every).otherwise(F.col("r")) - 1)
+    dealt = state.join(need, "super").withColumn("block", block).withColumn("other", F.explode(others))
+    dealt = dealt.select("rep", (F.least("block", "other") * every + F.greatest("block", "other")).alias("part"), (F.col("block") > F.col("other")).cast("int").alias("side"))
+    second = full.join(dealt, "rep").groupBy("super", "part").applyInPandas(verify, "a long, b long")
+    return first.unionByName(stash(second, "links"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, per_cent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of documents linked at a Jaccard similarity of per_cent or more.
 
@@ -331,11 +366,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, per_cent: int = 80) -> Da
     dealt = members.repartition("key", "part").sortWithinPartitions("key", "part", "side")
     near = stash(dealt.mapInArrow(_link_buckets(per_cent / 100), "a long, b long"), "near")
     supers = stash(components(near.distinct(), "supers").withColumnRenamed("component", "super"), "super")
-    total = supers.join(reps.select(F.col("rep").alias("node"), "n"), "node").groupBy("super").agg(F.count("*").alias("rows"), F.sum("n").alias("shingles"))
-    blocks = total.select("super", F.greatest(F.ceil(F.col("rows") / BLOCK_ROWS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("long").alias("n_blocks"))
+    sized = stash(supers.join(reps.select(F.col("rep").alias("node"), "n"), "node"), "sized")
     text = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string").alias("text")).join(small_side(supers.withColumnRenamed("node", "rep")), "rep")
     full = stash(text.mapInArrow(_sets(shingle), "rep long, super long, regs binary, shingles binary"), "sets")
-    links = stash(_in_blocks(full, "super", blocks).groupBy("super", "part").applyInPandas(_verify(per_cent), "a long, b long"), "links")
+    links = _links(full, sized, per_cent)
     group = stash(components(links, "groups"), "group")
     classes = reps.select("n", "sig_a", "sig_b", "rep").join(group.withColumnRenamed("node", "rep"), "rep", "left").select("n", "sig_a", "sig_b", F.coalesce("component", "rep").alias("component_id"))
     linked = known.join(classes, ["n", "sig_a", "sig_b"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
