@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from salesloom.session import ensure_checkpoint_dir
 
 BATCH_BYTES = 4 << 20
+PIECE_BYTES = 1 << 18
 BLANKS = b" \t\n\x0b\x0c\r"
 MASK = (1 << 64) - 1
 
@@ -123,8 +124,8 @@ class Words:
         self.bounds = np.searchsorted(self.starts, self.rows)
 
     def _cut(self, at: int, size: int, blank: np.ndarray) -> int:
-        """End of the next piece of some four million bytes, at a blank byte or a row's end."""
-        p = at + BATCH_BYTES
+        """End of the next piece of some PIECE_BYTES, at a blank byte or a row's end."""
+        p = at + PIECE_BYTES
         while p < size:
             found = np.flatnonzero(blank[self.data[p : p + 65536]])
             row = self.rows[min(np.searchsorted(self.rows, p), len(self.rows) - 1)]
