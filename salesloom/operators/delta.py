@@ -284,10 +284,10 @@ def stale_return_keys(stale: DataFrame) -> DataFrame:
     )
 
 
-def stale_listing(stale: DataFrame, limit: int = 100) -> DataFrame:
-    """Unresolved corrections, newest first, for display (C20)."""
+def stale_listing(stale: DataFrame, limit: int | None = 100) -> DataFrame:
+    """Unresolved corrections for display (C20): the newest, or all of them, unordered, without a limit."""
     is_return = F.col("source_name") == "RETURN_EVENTS"
-    return (
+    rows = (
         stale.where("resolved_at IS NULL")
         .select(
             F.when(is_return, F.concat(F.lit("Return / "), F.substring_index("source_order_id", ":", 1))).otherwise(F.col("source_name")).alias("source_name"),
@@ -295,6 +295,5 @@ def stale_listing(stale: DataFrame, limit: int = 100) -> DataFrame:
             F.when(is_return, "RETURN").otherwise("SALES").alias("record_type"),
             "source_line_number", "rejected_run_id", "source_row_number", "rejection_reason", "rejected_at",
         )
-        .orderBy(F.col("rejected_at").desc())
-        .limit(limit)
     )
+    return rows if limit is None else rows.orderBy(F.col("rejected_at").desc()).limit(limit)

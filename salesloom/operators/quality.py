@@ -423,11 +423,11 @@ def validate_sales_contract(data: DataFrame) -> DataFrame:
 
 
 def type_report(data: DataFrame) -> DataFrame:
-    """Declared type and type of the first non-null value per column."""
-    spark = data.sparkSession
-    firsts = data.agg(*[F.max(F.col(c).isNotNull()).alias(c) for c in data.columns]).first()
-    rows = [(c, t, t.split("(")[0] if firsts[c] else "kosong") for c, t in data.dtypes]
-    return spark.createDataFrame(rows, "kolom string, dtype string, tipe_nilai string")
+    """Declared type and type of the non-null values per column, `kosong` without any."""
+    types = dict(data.dtypes)
+    held = data.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in types])
+    each = [F.struct(F.lit(c).alias("kolom"), F.lit(t).alias("dtype"), F.when(F.col(f"`{c}`") > 0, t.split("(")[0]).otherwise("kosong").alias("tipe_nilai")) for c, t in types.items()]
+    return held.select(F.inline(F.array(*each)))
 
 
 # ------------------------------------------------------------ notebook views

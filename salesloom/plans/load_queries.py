@@ -202,7 +202,7 @@ add("f15_resolve_return_corrections", f"{RSTATES_SQL}, sr AS ({_SR}) SELECT sr.s
     .select("source_order_id", "source_line_number", F.coalesce("resolved_run_id", F.lit("")).alias("resolved_run_id")))
 add("c21_stale_return_keys", f"{RETURN_SQL}, sr AS ({_SR}) SELECT {RKEYS} FROM sr WHERE o % 4 <> 1")(lambda spark, sf: delta.stale_return_keys(stale_returns(spark, sf)))
 add("c20_stale_listing", f"{RETURN_SQL}, sr AS ({_SR}) SELECT 'Return / ' || source_name AS source_name, return_id AS source_order_id, 'RETURN' AS record_type, return_line_number AS source_line_number, o AS source_row_number FROM sr WHERE o % 4 <> 1")(
-    lambda spark, sf: delta.stale_listing(stale_returns(spark, sf), 2147483647).select("source_name", "source_order_id", "record_type", "source_line_number", "source_row_number"))
+    lambda spark, sf: delta.stale_listing(stale_returns(spark, sf), None).select("source_name", "source_order_id", "record_type", "source_line_number", "source_row_number"))
 add("i17_unresolved_corrections", f"{STALE_SQL} SELECT source_name, count(*) AS open_corrections FROM stale WHERE NOT resolved GROUP BY 1")(
     lambda spark, sf: stale_sales(spark, sf).where("resolved_at IS NULL").groupBy("source_name").agg(F.count(F.lit(1)).alias("open_corrections")).orderBy("source_name"))
 

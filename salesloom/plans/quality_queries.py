@@ -337,7 +337,11 @@ def _missing(spark, sf):
         "source", "kolom", "jumlah_kosong", F.round(100.0 * F.col("jumlah_kosong") / F.col("total"), 2).alias("persentase"))
 
 
-add("e40_type_report", "SELECT column_name AS kolom FROM (DESCRIBE SELECT * FROM orders)")(lambda spark, sf: Q.type_report(T.table(spark, sf, "orders")).select("kolom"))
+TYPED = {"o_orderkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double", "o_late_status": "string"}
+_LATE = "CASE WHEN o_totalprice < 0 THEN o_orderstatus END AS o_late_status"
+_TYPED_SQL = " UNION ALL ".join(f"SELECT '{c}' AS kolom, '{t}' AS dtype, CASE WHEN count({c}) > 0 THEN '{t}' ELSE 'kosong' END AS tipe_nilai FROM o" for c, t in TYPED.items())
+add("e40_type_report", f"WITH o AS (SELECT *, {_LATE} FROM orders) {_TYPED_SQL}")(
+    lambda spark, sf: Q.type_report(T.table(spark, sf, "orders").selectExpr("*", _LATE).selectExpr(*[f"CAST({c} AS {t}) AS {c}" for c, t in TYPED.items()])))
 add("e36_contract_violations", f"{FULL_CTE} SELECT unnest(['null_order_id', 'null_product_id', 'null_line_number', 'line_number_not_positive']) AS rule, unnest([count(*) FILTER (WHERE c_order_id IS NULL), count(*) FILTER (WHERE sku IS NULL), count(*) FILTER (WHERE t_line IS NULL), 0]) AS violations FROM final")(
     lambda spark, sf: Q.sales_contract_violations(Q.standard_sales(analyzed(spark, sf).select(*C.SALES_COLUMNS))))
 add("e37_file_contract", f"{FULL_CTE} SELECT unnest(['null_order_id', 'null_product_id', 'null_line_number', 'line_number_not_positive', 'unknown_status']) AS rule, unnest([count(*) FILTER (WHERE c_order_id IS NULL), count(*) FILTER (WHERE sku IS NULL), count(*) FILTER (WHERE t_line IS NULL), 0, count(*) FILTER (WHERE t_status NOT IN ('COMPLETED', 'CANCELLED', 'RETURNED'))]) AS violations FROM final")(
