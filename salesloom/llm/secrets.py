@@ -17,35 +17,50 @@ MIN_DOCUMENTS = 5
 TRAINING_ROWS = 20_000
 TREES, DEPTH, SEED = 24, 6, 17
 
-CREDENTIAL = r"(?i)(token|secret|passw|pwd|api[_-]?key|apikey|access[_-]?key|auth|credential|private[_-]?key|bearer)"
+CREDENTIAL = r"(?i)(token|secret|passw|pwd|api[_-]?key|apikey|access[_-]?key|auth|credential|private[_-]?key|bearer)|//[^\s/:@]*:[^\s:@]+@$"
 FINGERPRINT = r"(?i)(sha|md5|commit|checksum|digest|revision|uuid|etag|hash|version|build)"
 PREFIX = r"^(AKIA|ASIA|gh[pousr]_|glpat-|xox[abprs]-|sk_live_|sk-|AIza|eyJ)"
+#: A word is runs of key characters, with the padding of base64, and what stands between them.
+RUNS = r"[A-Za-z0-9_+/.-]+(?:={1,2}(?![A-Za-z0-9_+/.=-]))?|[^A-Za-z0-9_+/.-]+"
+ASSIGNS = r"[=:][\\\"'`(\[{]*$"
 FEATURES = ["length", "transitions", "digits", "uppers", "lowers", "hex", "variety", "coverage", "slashes", "dots", "extension", "credential", "fingerprint", "assigned", "quoted", "prefixed", "after_plain"]
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """(doc_id, word_no, value, before2, before, word, after): words that may hold a secret, with their neighbours.
+    """(doc_id, word_no, value, before2, before, word, after): runs that may hold a secret, with their neighbours.
 
-    A word is a run without white space. Its value is its longest run of key characters from LEAST_LENGTH on; it counts when
-    the word is assigned a name, or mixes letters and digits over LONG characters, or starts like a provider's key.
+    Every run of key characters from LEAST_LENGTH on is looked at, wherever it stands in a word, which is a run without white
+    space. It counts when it is assigned a name, or mixes letters and digits over LONG characters, or starts like a provider's
+    key. Its word is the run with the name and separator that assign it and a closing quote or @; before2 and before are the words
+    before, empty from a word's third run on; after is the next run of the word or the next word.
     """
     words = F.filter(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), r"\s+"), lambda w: w != "")
+    none = F.lit("")
 
     def of(w: Column) -> Column:
-        def place(x: Column, i: Column) -> Column:
-            value = F.regexp_extract(x, rf"([A-Za-z0-9_+/=.-]{{{LEAST_LENGTH},}})[^A-Za-z0-9]*$", 1)
-            near = [F.coalesce(F.get(w, i + j), F.lit("")) for j in (-2, -1, 1)]
-            parts = F.struct(i.cast("long").alias("word_no"), value.alias("value"), near[0].alias("before2"), near[1].alias("before"), x.alias("word"), near[2].alias("after"))
-            return F.when(F.length(x) >= LEAST_LENGTH, parts)
-
-        return F.filter(F.transform(w, place), may_be_secret)
-
-    def may_be_secret(c: Column) -> Column:
-        named = c.before.rlike("[=:][\"']?$") | c.word.rlike("^[A-Za-z_-]+[\"']?[=:][\"']?[A-Za-z0-9]") | c.value.rlike(PREFIX)
-        return c.isNotNull() & (c.value != "") & (named | ((F.length(c.value) >= LONG) & c.value.rlike("[0-9]") & c.value.rlike("[A-Za-z]")))
+        def near(i: Column, by: int) -> Column:
+            return F.coalesce(F.get(w, i + by), none)
+
+        def inside(x: Column, i: Column) -> Column:
+            def place(p: Column, value: Column, j: Column) -> Column:
+                between = F.coalesce(F.get(p, j - 1), none)
+                assigned = between.rlike(ASSIGNS) & ~value.startswith("//")
+                word = F.concat(F.when(assigned, F.coalesce(F.get(p, j - 2), none)).otherwise(none), F.when(assigned, between).otherwise(F.regexp_extract(between, "[\"'`]$", 0)), value, F.regexp_extract(F.coalesce(F.get(p, j + 1), none), "^[\"'`@]", 0))
+                named = assigned | ((j <= 1) & near(i, -1).rlike("[=:][\"']?$")) | value.rlike(PREFIX)
+                mixed = (F.length(value) >= LONG) & value.rlike("[0-9]") & value.rlike("[A-Za-z]")
+                first = lambda by: F.when(j <= 3, near(i, by)).otherwise(none)
+                parts = F.struct(i.cast("long").alias("word_no"), value.alias("value"), first(-2).alias("before2"), first(-1).alias("before"), word.alias("word"), F.coalesce(F.get(p, j + 2), near(i, 1)).alias("after"))
+                return F.when((F.length(value) >= LEAST_LENGTH) & value.rlike("^[A-Za-z0-9_+/.-]") & (named | mixed), parts)
+
+            runs = F.array(F.regexp_extract_all(x, F.lit(RUNS), F.lit(0)))  # bound as a lambda variable: made once a word
+            found = F.get(F.transform(runs, lambda p: F.filter(F.transform(p, lambda v, j: place(p, v, j)), lambda c: c.isNotNull())), F.lit(0))
+            worth = (F.length(x) >= LEAST_LENGTH) & (x.rlike("[0-9=:]") | near(i, -1).rlike("[=:][\"']?$") | x.rlike(PREFIX[1:]))
+            return F.when(worth, found)
+
+        return F.flatten(F.filter(F.transform(w, inside), lambda c: c.isNotNull()))
 
     found = F.get(F.transform(F.array(words), of), F.lit(0))  # the words are bound as a lambda variable: made once a row
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.explode(found).alias("c")).select("doc_id", "c.*").withColumn("value", F.regexp_replace("value", r"^[A-Za-z_-]+=", ""))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.explode(found).alias("c")).select("doc_id", "c.*")
 
 
 def dictionary(docs: DataFrame) -> DataFrame:
