@@ -13,7 +13,7 @@ from salesloom.llm.shared import stash, table
 LEAST_LENGTH = 8
 LONG = 16
 MIN_DOCUMENTS = 5
-#: At most so many labelled findings train the forest, those with the smallest hash.
+#: At most so many distinct labelled findings train the forest, half of them of each label as far as there are, those with the smallest hash.
 TRAINING_ROWS = 20_000
 TREES, DEPTH, SEED = 24, 6, 17
 
@@ -119,10 +119,20 @@ def labelled_findings(found: DataFrame) -> DataFrame:
     return base.unionByName(swapped).unionByName(placeholder)
 
 
+def drawn(known: DataFrame) -> DataFrame:
+    """At most TRAINING_ROWS distinct labelled findings: half of each label, and of one what the other leaves free."""
+    fields = ["value", "before2", "before", "word", "after", "label"]
+    once = stash(known.where("label is not null").select(fields).dropDuplicates().withColumn("order", F.xxhash64(*fields)), "known")
+    count = {r["label"]: r["count"] for r in once.groupBy((F.col("label") > 0).alias("label")).count().collect()}
+    half = TRAINING_ROWS // 2
+    room = {x: max(half, TRAINING_ROWS - count.get(not x, 0)) for x in (True, False)}
+    parts = [once.where((F.col("label") > 0) == F.lit(x)).orderBy("order", *fields).limit(n) for x, n in room.items()]
+    return parts[0].unionByName(parts[1])
+
+
 def train(labelled: DataFrame):
-    """A forest fitted on at most TRAINING_ROWS labelled findings with features; a number, the share of secrets, without both kinds."""
-    keyed = labelled.withColumn("order", F.xxhash64("value", "before2", "before", "word", "after", "label"))
-    sample = stash(keyed.orderBy("order", "value", "label").limit(TRAINING_ROWS).select("label", *[f"f_{x}" for x in FEATURES]).coalesce(1), "labelled")
+    """A forest fitted on drawn labelled findings with features; a number, the share of secrets, without both kinds."""
+    sample = stash(labelled.select("label", "order", *[f"f_{x}" for x in FEATURES]).coalesce(1).sortWithinPartitions("order").drop("order"), "labelled")
     n, positive = sample.agg(F.count("*"), F.sum("label")).first()
     if not n or positive in (0, n):
         return positive / n if n else 0.5
@@ -149,7 +159,7 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     found = stash(candidates(docs), "findings")
     words = stash(dictionary(docs), "dictionary")
     known = labelled_findings(found) if labelled is None else labelled.select("value", "before2", "before", "word", "after", F.col("label").cast("double").alias("label"))
-    return judge(with_features(found, words), train(with_features(known, words)))
+    return judge(with_features(found, words), train(with_features(stash(drawn(known), "drawn"), words)))
 
 
 def redact(docs: DataFrame, findings: DataFrame, mark: str = "[secret]") -> DataFrame:
