@@ -13,12 +13,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from salesloom.llm.shared import Words, by_size, spread, stream, table
+from salesloom.llm.shared import Words, by_size, spread, stash, stream, table
 
 CELLS = 1 << 18
 BLOCK = 128
-#: The training sample: at most so many distinct labelled texts of a language and in all, none longer than that.
-TEXTS_EACH, TEXTS_ALL, LONGEST, LANGUAGES = 60, 2400, 20_000, 200
+#: The training sample: at most so many distinct labelled texts of a language, some so many in all, 8 of a language at least;
+#: of a text longer than LONGEST characters a window of that length.
+TEXTS_EACH, TEXTS_ALL, LONGEST = 60, 2400, 20_000
+#: Beyond FULL languages the table has fewer cells, so that its size stays; beyond BLOCKED marginals are made word by word.
+FULL, BLOCKED = 200, 64
 ROUNDS, RATE, SPAN = 30, 0.5, 64
 LETTER = regex.compile(r"\p{L}")
 SALT = stream(31, 16)
@@ -29,7 +32,7 @@ NO_LETTER = np.array([not (65 <= b <= 90 or 97 <= b <= 122 or b >= 128) for b in
 @dataclass
 class Crf:
     languages: list[str]
-    weights: np.ndarray  # CELLS x languages
+    weights: np.ndarray  # cells x languages
     moves: np.ndarray  # log weights of one label after another
     first: np.ndarray
 
@@ -40,6 +43,18 @@ def _cell(value: np.ndarray, kind: int) -> np.ndarray:
     return ((h * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(46)).astype(np.int64)
 
 
+def cells_for(languages: int) -> int:
+    """CELLS, or the power of two that keeps the table at the size of FULL languages."""
+    cells = CELLS
+    while cells * languages > CELLS * FULL and cells > 1 << 12:
+        cells >>= 1
+    return cells
+
+
+def _batch_bytes(crf: Crf) -> int:
+    return max(1 << 14, min(1 << 20, (1 << 20) * BLOCKED // max(1, len(crf.languages))))
+
+
 def _lowered(texts: pa.Array) -> pa.Array:
     return pa.compute.utf8_lower(texts.cast(pa.large_string()).fill_null(""))
 
@@ -47,7 +62,8 @@ def _lowered(texts: pa.Array) -> pa.Array:
 class Features:
     """Cells of a batch's words: affixes of two and three bytes, the word itself, its byte n-grams up to three."""
 
-    def __init__(self, texts: pa.Array):
+    def __init__(self, texts: pa.Array, cells: int = CELLS):
+        self.cells = cells
         w = Words(_lowered(texts), fold=False, blank=NO_LETTER)
         self.words, size = w, w.ends - w.starts
         data = w.data.astype(np.uint32)
@@ -62,6 +78,8 @@ class Features:
         b1 = np.where(left > 1, data[np.minimum(at + 1, max(len(data) - 1, 0))], 0) if len(at) else b0
         b2 = np.where(left > 2, data[np.minimum(at + 2, max(len(data) - 1, 0))], 0) if len(at) else b0
         self.grams = [_cell(b0, 6), _cell(b0 << 8 | b1, 7), _cell(b0 << 16 | b1 << 8 | b2, 8)]
+        if cells < CELLS:
+            self.single, self.grams = [x & (cells - 1) for x in self.single], [x & (cells - 1) for x in self.grams]
 
     def scores(self, weights: np.ndarray) -> np.ndarray:
         """Words x languages."""
@@ -76,11 +94,11 @@ class Features:
         return out
 
     def gradient(self, by_word: np.ndarray) -> np.ndarray:
-        out = np.empty((CELLS, by_word.shape[1]))
+        out = np.empty((self.cells, by_word.shape[1]))
         cells = np.concatenate([*self.single, *self.grams])
         for k in range(by_word.shape[1]):
             of_word = by_word[:, k]
-            out[:, k] = np.bincount(cells, np.concatenate([*[of_word] * len(self.single), *[of_word[self.word]] * len(self.grams)]), minlength=CELLS)
+            out[:, k] = np.bincount(cells, np.concatenate([*[of_word] * len(self.single), *[of_word[self.word]] * len(self.grams)]), minlength=self.cells)
         return out
 
 
@@ -102,6 +120,8 @@ def chain_marginals(node: np.ndarray, moves: np.ndarray, first: np.ndarray, boun
         return np.zeros((0, labels))
     e = np.exp((node - node.max(1, keepdims=True)).astype(np.float64))
     t, s = np.exp(moves - moves.max()), np.exp(first - first.max())
+    if labels > BLOCKED:
+        return _by_word(e, t, s, bounds)
     blocks = -(-n // BLOCK)
     seq, nth = spread(blocks)
     start = bounds[:-1][seq] + nth * BLOCK
@@ -164,6 +184,29 @@ def chain_marginals(node: np.ndarray, moves: np.ndarray, first: np.ndarray, boun
     return out
 
 
+def _by_word(e: np.ndarray, t: np.ndarray, s: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The same for many labels: steps as many as the longest sequence has words, over all sequences at once."""
+    size = np.diff(bounds)
+    longest = np.argsort(-size, kind="stable")
+    start, size = bounds[:-1][longest], size[longest]
+    live = [int(np.searchsorted(-size, -k, "right")) for k in range(1, int(size[0]) + 1)]
+    out = np.empty(e.shape)
+    now = np.empty((len(size), e.shape[1]))
+    for k, m in enumerate(live):
+        now = (now[:m] @ t if k else np.tile(s, (m, 1))) * e[start[:m] + k]
+        now /= now.sum(1, keepdims=True)
+        out[start[:m] + k] = now
+    message = np.ones((len(size), e.shape[1]))
+    for k in range(len(live) - 1, -1, -1):
+        m = live[k]
+        at = start[:m] + k
+        out[at] *= message[:m]
+        out[at] /= out[at].sum(1, keepdims=True)
+        back = (message[:m] * e[at]) @ t.T
+        message[:m] = back / back.sum(1, keepdims=True)
+    return out
+
+
 def _first_block(here: np.ndarray, start: np.ndarray, size: np.ndarray, e: np.ndarray, t: np.ndarray, s: np.ndarray) -> np.ndarray:
     """Forward messages out of first blocks, step by step, where the moves have no inverse."""
     now = s * e[start[here]]
@@ -181,12 +224,14 @@ def fit(texts: list[str], labels: list[str]) -> Crf:
     order: the moves between languages are learned from these code-switched sequences.
     """
     languages = sorted(set(labels))
-    crf = Crf(languages, np.zeros((CELLS, len(languages)), np.float32), np.zeros((len(languages),) * 2), np.zeros(len(languages)))
+    cells = cells_for(len(languages))
+    crf = Crf(languages, np.zeros((cells, len(languages)), np.float32), np.zeros((len(languages),) * 2), np.zeros(len(languages)))
     if len(languages) < 2:
         return crf
-    f = Features(pa.array(texts, pa.large_string()))
+    f = Features(pa.array(texts, pa.large_string()), cells)
     n = np.diff(f.words.bounds)
-    y = np.repeat([languages.index(x) for x in labels], n)
+    number = {x: i for i, x in enumerate(languages)}
+    y = np.repeat([number[x] for x in labels], n)
     rng = np.random.default_rng(5)
     pieces = []
     for a, b in zip(f.words.bounds[:-1], f.words.bounds[1:]):
@@ -204,7 +249,7 @@ def fit(texts: list[str], labels: list[str]) -> Crf:
     seen = np.zeros((k, k))
     np.add.at(seen, (truth[:, :-1], truth[:, 1:]), 1)
     began = np.bincount(truth[:, 0], minlength=k)
-    squares, squares_m, squares_f = np.full((CELLS, k), 1e-4), np.full((k, k), 1e-4), np.full(k, 1e-4)
+    squares, squares_m, squares_f = np.full((cells, k), 1e-4), np.full((k, k), 1e-4), np.full(k, 1e-4)
     for _ in range(ROUNDS):
         score = f.scores(crf.weights)[take].astype(np.float64)
         e = np.exp(score - score.max(2, keepdims=True))
@@ -220,8 +265,7 @@ def fit(texts: list[str], labels: list[str]) -> Crf:
             out = e[:, i + 1] * beta[:, i + 1]
             beta[:, i] = out @ t.T
             beta[:, i] /= beta[:, i].sum(1, keepdims=True)
-            pair = alpha[:, i, :, None] * t[None] * out[:, None, :]
-            expected += (pair / pair.sum((1, 2), keepdims=True)).sum(0)
+            expected += t * ((alpha[:, i] / ((alpha[:, i] @ t) * out).sum(1, keepdims=True)).T @ out)
         p = alpha * beta
         p /= p.sum(2, keepdims=True)
         by_word = np.zeros((len(y), k))
@@ -241,16 +285,20 @@ def fit(texts: list[str], labels: list[str]) -> Crf:
 
 
 def sample(docs: DataFrame, learn: Column) -> tuple[list[str], list[str]]:
-    """At most TEXTS_EACH distinct texts of each labelled language, those with the smallest text hashes."""
-    usable = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), F.coalesce(learn, F.lit(False)).alias("learn")).where("learn and text is not null and lang is not null")
-    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    if not counts:
-        return [], []
-    each = max(8, min(TEXTS_EACH, TEXTS_ALL // len(counts)))
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1 << 30, (8 * each << 30) // r["count"]))])
+    """At most TEXTS_EACH distinct texts of each labelled language, those with the smallest text hashes; windows of long ones."""
     h = F.xxhash64("text")
-    near = usable.where(F.length("text") <= LONGEST).withColumn("h", h).where(F.pmod("h", F.lit(1 << 30)) < share[F.col("lang")])
-    once = near.groupBy("lang", "h").agg(F.first("text").alias("text"))
+    usable = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), F.coalesce(learn, F.lit(False)).alias("learn")).where("learn and text is not null and lang is not null").withColumn("h", h)
+    counts = stash(usable.select("lang", "h").distinct().groupBy("lang").count(), "languages")
+    languages = counts.count()
+    if not languages:
+        return [], []
+    each = max(8, min(TEXTS_EACH, TEXTS_ALL // languages))
+    share = counts.select("lang", F.least(F.lit(1 << 30), F.ceil(F.lit(8 * each << 30) / F.col("count"))).alias("share"))
+    near = usable.join(F.broadcast(share), "lang").where(F.pmod("h", F.lit(1 << 30)) < F.col("share"))
+    size = F.length("text")
+    at = (F.pmod(F.shiftright("h", 30), F.greatest(size - LONGEST, F.lit(1))) + 1).cast("int")
+    window = F.when(size > LONGEST, F.substr("text", at, F.lit(LONGEST))).otherwise(F.col("text"))
+    once = near.select("lang", "h", window.alias("text")).groupBy("lang", "h").agg(F.first("text").alias("text"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 30)), "h"))
     rows = once.withColumn("rank", rank).where(F.col("rank") <= each).orderBy("lang", "h").select("text", "lang").collect()
     return [r["text"] for r in rows], [r["lang"] for r in rows]
@@ -262,7 +310,7 @@ def learned(docs: DataFrame, learn: Column) -> Crf:
 
 def _judged(texts: pa.Array, crf: Crf) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, Features, np.ndarray]:
     """Per row: language, score, words, changes of label; and the words with their labels."""
-    f = Features(texts)
+    f = Features(texts, len(crf.weights))
     b = f.words.bounds
     n = np.diff(b)
     letters = np.array([x is not None and LETTER.search(x) is not None for x in texts.to_pylist()], bool)
@@ -291,7 +339,7 @@ def predict(docs: DataFrame, crf: Crf) -> DataFrame:
     model = docs.sparkSession.sparkContext.broadcast(crf)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_size(batches, "text", 1 << 20):
+        for batch in by_size(batches, "text", _batch_bytes(model.value)):
             names, score, n, changes, _, _ = _judged(batch.column("text"), model.value)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(names), pa.array(score), pa.array(n), pa.array(changes)], ["doc_id", "lang_pred", "score", "n_words", "n_switches"])
 
@@ -303,7 +351,7 @@ def label_runs(docs: DataFrame, crf: Crf) -> DataFrame:
     model = docs.sparkSession.sparkContext.broadcast(crf)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_size(batches, "text", 1 << 20):
+        for batch in by_size(batches, "text", _batch_bytes(model.value)):
             _, _, n, _, f, label = _judged(batch.column("text"), model.value)
             if len(label) and model.value.languages:
                 row = np.repeat(np.arange(len(n)), n)
@@ -325,7 +373,7 @@ def accept(docs: DataFrame, crf: Crf, least: float = 0.3) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             named = whole.rename_columns([f"c{i}" for i in range(whole.num_columns)])
-            for batch in by_size(iter([named]), f"c{text}", 1 << 20):
+            for batch in by_size(iter([named]), f"c{text}", _batch_bytes(model.value)):
                 names, score, *_ = _judged(batch.column(text), model.value)
                 keep = np.array([x != "und" for x in names], bool) & (score >= least) if model.value.languages else np.array([x is not None and LETTER.search(x) is not None for x in batch.column(text).to_pylist()], bool)
                 yield batch.filter(pa.array(keep, pa.bool_())).rename_columns(whole.schema.names)
