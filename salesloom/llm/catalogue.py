@@ -1,6 +1,6 @@
 """Registered queries of this folder: name, function, SQL (None where SQL cannot state the result)."""
 
-from salesloom.llm import conversation_repair, decontamination, divergence, fingerprints, fixity, language_crf, licenses, maxent_lm, near_dup, packing, secrets, surrogates
+from salesloom.llm import conversation_repair, decontamination, divergence, fingerprints, fixity, language_crf, licenses, maxent_lm, near_dup, packing, secrets, surrogates, toxicity
 
 QUERIES = {
     "op1_secret_forest": (secrets.op1_secret_forest, None),
@@ -14,5 +14,6 @@ QUERIES = {
     "op9_minhash_containment": (decontamination.op9_minhash_containment, decontamination.OP9_SQL),
     "op10_weighted_sampling": (fingerprints.op10_weighted_sampling, None),
     "op11_auction_repair": (conversation_repair.op11_auction_repair, conversation_repair.OP11_SQL),
+    "op12_factorization_machine": (toxicity.op12_factorization_machine, None),
     "op13_chunk_divergence": (divergence.op13_chunk_divergence, divergence.OP13_SQL),
 }
