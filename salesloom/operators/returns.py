@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, functions as F
 
 from salesloom import contracts as C
 from salesloom.functions import dates, numbers, text
 from salesloom.functions.hashing import record_hash
-from salesloom.operators.skew import HOT_ROWS, annotate_keys, bounded_broadcast
+from salesloom.operators.skew import HOT_ROWS, annotate_keys
 from salesloom.session import cut_lineage
 
 LINE_KEY = ["source_name", "source_order_id", "source_line_number"]
@@ -18,7 +19,8 @@ EVENT_FIELDS = EVENT_KEY + [
     "source_order_id", "source_line_number", "return_date", "return_reason", "return_status",
     "quantity_returned", "refund_amount", "refund_status",
 ]
-FOLD_LIMIT = 2_000
+#: Events whose refunds are summed at once; so many of the largest refund stay below 2**63 cents.
+STRETCH = 512
 
 
 def normalize_returns(rows: DataFrame, unicode: bool = True) -> DataFrame:
@@ -107,222 +109,175 @@ def prior_usage(return_facts: DataFrame) -> DataFrame:
 
 
 def _event_terms(events: DataFrame, return_facts: DataFrame | None) -> DataFrame:
-    """Per event: what it uses, and what its own earlier version already uses on the line."""
+    """Keys of the events, what each uses of its line and what it asks for: that, less what its own earlier version has booked there.
+
+    Units, and refund in cents. A rejected event asks for no units and uses nothing.
+    """
     used = F.col("return_status") != "REJECTED"
-    zero_units, zero_money = F.lit(0).cast("bigint"), F.lit(0).cast("decimal(18,2)")
-    refund = F.coalesce(F.col("refund_amount").cast("decimal(18,2)"), zero_money)
-    out = events.withColumns(
-        {
-            "_checks_units": used,
-            "_units": F.when(used, F.col("quantity_returned").cast("bigint")).otherwise(zero_units),
-            "_ask": refund,
-            "_refund": F.when(used, refund).otherwise(zero_money),
-        }
+    none, nothing = F.lit(0).cast("bigint"), F.lit(-(1 << 62)).cast("bigint")
+    out = events.select(
+        *EVENT_KEY, *LINE_KEY[1:], used.alias("_used"), F.col("quantity_returned").cast("bigint").alias("_units"),
+        F.coalesce(_cents("refund_amount"), none).alias("_refund"),
     )
-    if return_facts is None:
-        return out.withColumns({"_own_units": zero_units, "_own_refund": zero_money})
-    booked = F.when(F.col("refund_status") == "PROCESSED", F.col("refund_amount").cast("decimal(18,2)"))
-    own = return_facts.where("return_status <> 'REJECTED'").select(
-        *EVENT_KEY, *LINE_KEY[1:], F.col("quantity_returned").cast("bigint").alias("_own_units"),
-        F.coalesce(booked, zero_money).alias("_own_refund"),
+    if return_facts is not None:
+        booked = F.when(F.col("refund_status") == "PROCESSED", _cents("refund_amount"))
+        own = return_facts.where("return_status <> 'REJECTED'").select(
+            *EVENT_KEY, *LINE_KEY[1:], F.col("quantity_returned").cast("bigint").alias("_own_u"), F.coalesce(booked, none).alias("_own_c")
+        )
+        out = out.join(own, [*EVENT_KEY, *LINE_KEY[1:]], "left")
+    else:
+        out = out.withColumns({"_own_u": none, "_own_c": none})
+    return out.select(
+        *EVENT_KEY, *LINE_KEY[1:], F.when(F.col("_used"), F.col("_units") - F.coalesce("_own_u", none)).otherwise(nothing).alias("_ask_u"),
+        F.when(F.col("_used"), F.col("_units")).otherwise(none).alias("_use_u"),
+        (F.col("_refund") - F.coalesce("_own_c", none)).alias("_ask_c"), F.when(F.col("_used"), F.col("_refund")).otherwise(none).alias("_use_c"),
     )
-    joined = out.join(own, [*EVENT_KEY, *LINE_KEY[1:]], "left")
-    return joined.withColumns(
-        {"_own_units": F.coalesce("_own_units", zero_units), "_own_refund": F.coalesce("_own_refund", zero_money)}
+
+
+def _cents(name: str) -> Column:
+    return (F.col(name) * 100).cast("bigint")
+
+
+def line_demand(terms: DataFrame) -> DataFrame:
+    """Per sale line, what all its events together use and the most one asks beyond what it uses."""
+    return terms.groupBy(*LINE_KEY).agg(
+        F.sum("_use_u").alias("_sum_u"), F.sum(F.col("_use_c").cast("decimal(38,0)")).alias("_sum_c"),
+        F.max(F.greatest(F.col("_ask_c") - F.col("_use_c"), F.lit(0))).alias("_more_c"),
     )
 
 
-def _line_limits(lines: DataFrame, sales: DataFrame, return_facts: DataFrame | None) -> DataFrame:
-    """``lines`` (one row per sale line) with what is left to return and to refund."""
+def line_limits(demand: DataFrame, sales: DataFrame, return_facts: DataFrame | None = None) -> DataFrame:
+    """``demand`` with what is left to return and to refund, why a line is refused and whether its events compete.
+
+    A line whose events fit together is settled by its sums: each of them fits wherever it stands. Only the events of a
+    ``contested`` line depend on their order.
+    """
     facts = sales.select(*LINE_KEY, "quantity", "net_amount", "sale_status")
-    joined = lines.join(facts, LINE_KEY, "left")
+    joined = demand.join(facts, LINE_KEY, "left")
     if return_facts is not None:
         joined = joined.join(prior_usage(return_facts), LINE_KEY, "left")
     else:
         joined = joined.withColumns({"prior_units": F.lit(0), "prior_refund": F.lit(0)})
+    none = F.lit(0).cast("decimal(38,2)")
     units_left = F.col("quantity").cast("bigint") - F.coalesce(F.col("prior_units").cast("bigint"), F.lit(0))
-    refund_left = F.col("net_amount").cast("decimal(18,2)") - F.coalesce(
-        F.col("prior_refund").cast("decimal(18,2)"), F.lit(0).cast("decimal(18,2)")
-    )
+    refund_left = F.col("net_amount").cast("decimal(38,2)") - F.coalesce(F.col("prior_refund").cast("decimal(38,2)"), none)
     refused = F.when(F.col("sale_status").isNull(), C.RETURN_REASONS["no_sale"]).when(
         F.col("sale_status") == "CANCELLED", C.RETURN_REASONS["cancelled"]
     )
-    return joined.select(
-        *lines.columns, refused.alias("_refused"), units_left.alias("_units_left"),
-        refund_left.cast("decimal(20,2)").alias("_refund_left"),
-    )
-
-
-def _verdict(event: Column, units_left: Column, refund_left: Column) -> Column:
-    """Reason an event fails against what is left, null when it fits."""
-    over_units = event["_checks_units"] & (event["_units"] - event["_own_units"] > units_left)
-    over_refund = event["_ask"] - event["_own_refund"] > refund_left
-    return F.when(over_units, C.RETURN_REASONS["quantity_cap"]).when(over_refund, C.RETURN_REASONS["refund_cap"])
-
-
-def _fold_lines(
-    terms: DataFrame, columns: list[str], sales: DataFrame, return_facts: DataFrame | None
-) -> DataFrame:
-    """Caps of ordinary lines: the events of a line, sorted, folded in one expression."""
-    first = ["return_id", "return_line_number"]
-    body = first + [c for c in terms.columns if c not in LINE_KEY + first]
-    grouped = terms.groupBy(*LINE_KEY).agg(F.sort_array(F.collect_list(F.struct(*body))).alias("_events"))
-    lines = _line_limits(grouped, sales, return_facts)
-    kept = [c for c in columns if c not in LINE_KEY]
-    fields = ",".join(f"`{f.name}`:{f.dataType.simpleString()}" for f in terms.select(*kept).schema.fields)
-    nothing = F.array().cast(f"array<struct<{fields},cap_reason:string>>")
-    start = F.struct(
-        F.col("_units_left").alias("units"), F.col("_refund_left").cast("decimal(38,2)").alias("refund"),
-        nothing.alias("out"),
+    limited = joined.select(
+        *LINE_KEY, "_sum_u", "_sum_c", "_more_c", refused.alias("_refused"), units_left.alias("_left_u"),
+        (refund_left * 100).cast("bigint").alias("_left_c"),
     )
-
-    def step(state, event):
-        reason = _verdict(event, state["units"], state["refund"])
-        fits = reason.isNull()
-        entry = F.struct(*[event[c].alias(c) for c in kept], reason.alias("cap_reason"))
-        return F.struct(
-            F.when(fits, state["units"] - event["_units"]).otherwise(state["units"]).alias("units"),
-            F.when(fits, state["refund"] - event["_refund"]).otherwise(state["refund"]).cast("decimal(38,2)").alias("refund"),
-            F.concat(state["out"], F.array(entry)).alias("out"),
-        )
-
-    open_line = F.col("_refused").isNull()
-    folded = F.aggregate("_events", start, step, lambda s: s["out"])
-    all_refused = F.transform(
-        "_events", lambda e: F.struct(*[e[c].alias(c) for c in kept], F.col("_refused").alias("cap_reason"))
+    fits = (F.col("_sum_u") <= F.col("_left_u")) & (F.col("_sum_c") + F.col("_more_c") <= F.col("_left_c"))
+    return limited.select(
+        *LINE_KEY, "_refused", "_left_u", "_left_c", (F.col("_refused").isNull() & ~F.coalesce(fits, F.lit(False))).alias("_contested")
     )
-    judged = lines.select(*LINE_KEY, F.inline(F.when(open_line, folded).otherwise(all_refused)))
-    return judged.select(*columns, "cap_reason")
-
-
-def _floor_power(value: Column) -> Column:
-    """Largest power of two not above a positive value, 0 for others."""
-    exponent = F.floor(F.log2(F.greatest(value.cast("double"), F.lit(1.0))))
-    power = F.pow(F.lit(2.0), exponent).cast("decimal(24,0)")
-    power = F.when(power > value, (power / 2).cast("decimal(24,0)")).otherwise(power)
-    return F.when(value > 0, power).otherwise(F.lit(0).cast("decimal(24,0)"))
 
 
-def _wave_lines(terms: DataFrame, columns: list[str], limits: DataFrame, n_lines: int, partitions: int) -> DataFrame:
-    """Caps of lines with very many events, without gathering a line in one task.
+def first_refused(ask: list, use: list, left: list, at: int) -> int:
+    """First event from ``at`` on that does not fit when all before it do; the number of events if there is none.
 
-    With U units left and 2**k <= U < 2**(k+1), an event below 2**k units fits
-    for as long as at least 2**k are left, and one needing 2**(k+1) or more can
-    never fit (refund cents alike). So the verdicts up to the first event that
-    takes a limit below its power of two follow from prefix sums of the small
-    events. Every wave ends at that event and halves a limit, hence at most
-    some 90 waves. Events are cut into range partitions; only one row per line
-    and partition, and one row per line, ever meet.
+    ``ask``, ``use`` and ``left`` hold one entry per limit. Looks ahead in stretches that double up to STRETCH events, so a
+    run costs its own length; sums of a stretch cannot overflow.
     """
-    small_table = lambda df: bounded_broadcast(df, n_lines)
-    cents = lambda c: (F.col(c) * 100).cast("decimal(24,0)")
-    base = terms.withColumns(
-        {
-            "_pos": F.struct("return_id", "return_line_number"),
-            "_ask_c": cents("_ask") - cents("_own_refund"),
-            "_use_c": cents("_refund"),
-            "_ask_u": (F.col("_units") - F.col("_own_units")).cast("decimal(24,0)"),
-            "_use_u": F.col("_units").cast("decimal(24,0)"),
-        }
-    ).select(*columns, "_pos", "_checks_units", "_ask_c", "_use_c", "_ask_u", "_use_u")
-    base = base.repartitionByRange(partitions, *LINE_KEY, "return_id", "return_line_number")
-    base = cut_lineage(base.withColumn("_part", F.spark_partition_id()))
-    state = cut_lineage(
-        limits.select(
-            *LINE_KEY, F.col("_units_left").cast("decimal(38,0)").alias("_u"),
-            (F.col("_refund_left") * 100).cast("decimal(38,0)").alias("_c"),
-        )
-    )
-    order = Window.partitionBy(*LINE_KEY, "_part").orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
-    parts = Window.partitionBy(*LINE_KEY).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    zero = F.lit(0).cast("decimal(38,0)")
-    pending, waves = base, []
-    while True:
-        leveled = state.withColumns({"_fu": _floor_power(F.col("_u")), "_fc": _floor_power(F.col("_c"))})
-        joined = pending.join(small_table(leveled), LINE_KEY, "inner")
-        fits_any_units = ~F.col("_checks_units") | (F.col("_use_u") < F.col("_fu"))
-        fits_any_refund = (F.col("_use_c") < F.col("_fc")) | ((F.col("_use_c") == 0) & (F.col("_c") >= 0))
-        marked = joined.withColumn("_small", fits_any_units & fits_any_refund).withColumns(
-            {
-                "_su": F.when(F.col("_small"), F.col("_use_u")).otherwise(zero).cast("decimal(38,0)"),
-                "_sc": F.when(F.col("_small"), F.col("_use_c")).otherwise(zero).cast("decimal(38,0)"),
-            }
-        )
-        offsets = (
-            marked.groupBy(*LINE_KEY, "_part")
-            .agg(F.sum("_su").alias("_tu"), F.sum("_sc").alias("_tc"))
-            .select(
-                *LINE_KEY, "_part", F.coalesce(F.sum("_tu").over(parts), zero).alias("_ou"),
-                F.coalesce(F.sum("_tc").over(parts), zero).alias("_oc"),
-            )
-        )
-        local = marked.withColumns(
-            {"_lu": F.coalesce(F.sum("_su").over(order), zero), "_lc": F.coalesce(F.sum("_sc").over(order), zero)}
-        )
-        placed = local.join(offsets, [*LINE_KEY, "_part"], "inner").withColumns(
-            {"_now_u": F.col("_u") - F.col("_lu") - F.col("_ou"), "_now_c": F.col("_c") - F.col("_lc") - F.col("_oc")}
-        )
-        over_units = F.col("_checks_units") & (F.col("_ask_u") > F.col("_now_u"))
-        over_refund = F.col("_ask_c") > F.col("_now_c")
-        reason = F.when(over_units, C.RETURN_REASONS["quantity_cap"]).when(over_refund, C.RETURN_REASONS["refund_cap"])
-        uses = (F.col("_use_u") > 0) | (F.col("_use_c") > 0)
-        drops = (F.col("_now_u") - F.col("_use_u") < F.col("_fu")) | (F.col("_now_c") - F.col("_use_c") < F.col("_fc"))
-        judged = placed.withColumn("cap_reason", reason).withColumn(
-            "_stops", F.col("cap_reason").isNull() & uses & (~F.col("_small") | drops)
-        )
-        judged = cut_lineage(judged.select(*base.columns, "cap_reason", "_stops", "_now_u", "_now_c"))
-        stops = cut_lineage(
-            judged.where("_stops").groupBy(*LINE_KEY).agg(
-                F.min(F.struct("_pos", "_now_u", "_now_c", "_use_u", "_use_c")).alias("_stop")
-            )
-        )
-        settled = judged.join(small_table(stops), LINE_KEY, "left").where(
-            F.col("_stop").isNull() | (F.col("_pos") <= F.col("_stop._pos"))
-        )
-        waves.append(settled.select(*columns, "cap_reason"))
-        if stops.isEmpty():
-            return reduce(DataFrame.unionByName, waves)
-        state = stops.select(
-            *LINE_KEY,
-            (F.col("_stop._now_u") - F.col("_stop._use_u")).cast("decimal(38,0)").alias("_u"),
-            (F.col("_stop._now_c") - F.col("_stop._use_c")).cast("decimal(38,0)").alias("_c"),
-        )
-        later = judged.join(small_table(stops), LINE_KEY, "inner").where(F.col("_pos") > F.col("_stop._pos"))
-        pending = later.select(*base.columns)
+    size, n = 8, len(ask[0])
+    left = list(left)
+    while at < n:
+        to = min(at + size, n)
+        over = np.zeros(to - at, bool)
+        sums = []
+        for a, u, most in zip(ask, use, left):
+            total = np.cumsum(u[at:to])
+            over |= a[at:to] > most - (total - u[at:to])
+            sums.append(int(total[-1]))
+        if over.any():
+            return at + int(over.argmax())
+        left = [most - s for most, s in zip(left, sums)]
+        at, size = to, min(2 * size, STRETCH)
+    return n
+
+
+def first_fitting(ask: list, left: list, at: int) -> int:
+    """First event from ``at`` on that fits into what is left; the number of events if none does."""
+    size, n = 8, len(ask[0])
+    while at < n:
+        to = min(at + size, n)
+        fits = np.logical_and.reduce([a[at:to] <= most for a, most in zip(ask, left)])
+        if fits.any():
+            return at + int(fits.argmax())
+        at, size = to, 2 * size
+    return n
+
+
+def settle_run(ask: list, use: list, left: list) -> tuple[np.ndarray, list]:
+    """Verdict of each event of one line in order (0 fits, 1 breaks the first limit, 2 the second) and what is left.
+
+    Accepted and refused events come in runs; each run is found as a whole. Limits only fall, so an event refused once is never
+    looked at again.
+    """
+    out = np.zeros(len(ask[0]), np.int8)
+    at = 0
+    while at < len(out):
+        stop = first_refused(ask, use, left, at)
+        left = [most - int(u[at:stop].sum(dtype=object)) for u, most in zip(use, left)]
+        at = first_fitting(ask, left, stop)
+        out[stop:at] = np.where(ask[0][stop:at] > left[0], 1, 2)
+    return out, left
+
+
+def _refuse(batches):
+    """Rows sorted by line and event: those that do not fit, with the limit they break. Two numbers are carried from row to row."""
+    line, left = None, [0, 0]
+    for batch in batches:
+        keys = [batch.column(c) for c in LINE_KEY]
+        new = np.ones(batch.num_rows, bool)
+        new[1:] = np.asarray(pc.or_(pc.or_(pc.not_equal(keys[0][1:], keys[0][:-1]), pc.not_equal(keys[1][1:], keys[1][:-1])), pc.not_equal(keys[2][1:], keys[2][:-1])))
+        value = {c: batch.column(c).to_numpy() for c in ("_ask_u", "_use_u", "_ask_c", "_use_c", "_left_u", "_left_c")}
+        starts = np.flatnonzero(new)
+        broken = np.zeros(batch.num_rows, np.int8)
+        for a, b in zip(starts, [*starts[1:], batch.num_rows]):
+            here = tuple(k[int(a)].as_py() for k in keys)
+            if here != line:
+                line, left = here, [int(value["_left_u"][a]), int(value["_left_c"][a])]
+            broken[a:b], left = settle_run([value["_ask_u"][a:b], value["_ask_c"][a:b]], [value["_use_u"][a:b], value["_use_c"][a:b]], left)
+        out = pa.RecordBatch.from_arrays([*[batch.column(c) for c in EVENT_KEY], pa.array(broken)], [*EVENT_KEY, "_broken"])
+        yield out.filter(pa.array(broken > 0))
+
+
+def refused_events(terms: DataFrame, limits: DataFrame) -> DataFrame:
+    """Keys of the events of contested lines that do not fit, and the limit they break (1 units, 2 refund).
+
+    Events are judged in (return_id, return_line_number) order in one pass: accepted ones use up units and refund, refused ones do
+    not, so each verdict needs those before it. Only contested lines are ordered, events that ask more units than a line had to begin with
+    are refused before; what passes from event to event is two numbers, and no line is ever held.
+    """
+    keyed = terms.select(*LINE_KEY, *EVENT_KEY[1:], "_ask_u", "_use_u", "_ask_c", "_use_c").join(limits.where("_contested").drop("_refused", "_contested"), LINE_KEY)
+    never = keyed.where("_ask_u > _left_u").select(*EVENT_KEY, F.lit(1).cast("tinyint").alias("_broken"))
+    order = [*LINE_KEY, *EVENT_KEY[1:]]
+    # dealt by a hash of the line: dealt by the join's own keys the exchange would be left out, and a broadcast join chosen at run time reads each map's rows apart
+    dealt = keyed.where("_ask_u <= _left_u").withColumn("_line", F.xxhash64(*LINE_KEY)).repartition("_line")
+    sorted_ = dealt.sortWithinPartitions("_line", *order)
+    kinds = ", ".join(f"`{c}` {terms.schema[c].dataType.simpleString()}" for c in EVENT_KEY)
+    return never.unionByName(sorted_.mapInArrow(_refuse, f"{kinds}, _broken tinyint"))
 
 
-def apply_caps(
-    events: DataFrame, sales: DataFrame, return_facts: DataFrame | None = None,
-    fold_limit: int = FOLD_LIMIT, wave_partitions: int | None = None,
-) -> DataFrame:
+def apply_caps(events: DataFrame, sales: DataFrame, return_facts: DataFrame | None = None) -> DataFrame:
     """Verdict of every unique event in ``cap_reason``.
 
-    Events of a sale line are taken in (return_id, return_line_number) order;
-    accepted ones use up units and refund, refused ones do not. Lines with at
-    most ``fold_limit`` events are folded in an expression, longer ones go
-    through prefix-sum waves.
+    Stage one adds up the demand of each sale line: lines that are unknown, cancelled or have room for all their events are settled by it.
+    Stage two orders the events of the other lines. Only keys and amounts take part; the events are joined with the verdicts at the end.
     """
-    columns = events.columns
     terms = _event_terms(events, return_facts)
-    counts = events.groupBy(*LINE_KEY).agg(F.count(F.lit(1)).alias("_n"))
-    long_lines = counts.where(F.col("_n") > fold_limit).select(*LINE_KEY)
-    n_long = long_lines.count()
-    if not n_long:
-        return _fold_lines(terms, columns, sales, return_facts)
-    long_lines = bounded_broadcast(cut_lineage(long_lines), n_long)
-    ordinary = _fold_lines(terms.join(long_lines, LINE_KEY, "left_anti"), columns, sales, return_facts)
-    limits = cut_lineage(_line_limits(long_lines, sales, return_facts))
-    long_terms = terms.join(bounded_broadcast(limits.select(*LINE_KEY, "_refused"), n_long), LINE_KEY, "inner")
-    refused = long_terms.where("_refused IS NOT NULL").select(*columns, F.col("_refused").alias("cap_reason"))
-    open_terms = long_terms.where("_refused IS NULL").drop("_refused")
-    partitions = wave_partitions or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    waved = _wave_lines(open_terms, columns, limits.where("_refused IS NULL"), n_long, partitions)
-    return ordinary.unionByName(refused).unionByName(waved)
+    limits = cut_lineage(line_limits(line_demand(terms), sales, return_facts))
+    refused = limits.where("_refused IS NOT NULL").select(*LINE_KEY, "_refused")
+    broken = F.when(F.col("_broken") == 1, C.RETURN_REASONS["quantity_cap"]).when(F.col("_broken") == 2, C.RETURN_REASONS["refund_cap"])
+    judged = events.join(refused, LINE_KEY, "left").join(refused_events(terms, limits), EVENT_KEY, "left")
+    return judged.select(*events.columns, F.coalesce("_refused", broken).alias("cap_reason"))
 
 
 def judge_returns(
     rows: DataFrame, sales: DataFrame, return_facts: DataFrame | None = None, unicode: bool = True,
-    fold_limit: int = FOLD_LIMIT, hot_rows: int = HOT_ROWS, wave_partitions: int | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Whole return job: rules, versions, sale reference and caps.
 
@@ -332,7 +287,7 @@ def judge_returns(
     normalized = cut_lineage(normalize_returns(rows, unicode))
     resolved = cut_lineage(resolve_return_versions(normalized, hot_rows))
     candidates = resolved.where("reason IS NULL AND NOT is_duplicate")
-    judged = apply_caps(candidates, sales, return_facts, fold_limit, wave_partitions)
+    judged = apply_caps(candidates, sales, return_facts)
     settled = judged.select(
         *[c for c in resolved.columns if c not in ("reason", "is_duplicate")],
         F.col("cap_reason").alias("reason"),

@@ -462,6 +462,15 @@ CAPS_SQL = CAPS_SQL.replace("FROM events GROUP BY 1, 2, 3)", "FROM events WHERE
     "FROM events e JOIN f5 f USING", "FROM events e LEFT JOIN f5 f USING", 1)
 RETURN_CTE = f"WITH {T.LINES_SQL},{RETURN_ROWS_SQL},{NORMAL_SQL}"
 JUDGED_CTE = f"{RETURN_CTE},{CAPS_SQL}"
+# Booked before, on every fourth order: an earlier version of the second event, on every eighth another event, and a rejected one.
+_BOOKED_SQL = (
+    ("any_value(sale_status) AS sale_status,", """any_value(sale_status) AS sale_status, any_value(CASE WHEN l_orderkey % 4 = 0 THEN quantity // 3 + 1 ELSE 0 END) AS oq, any_value(CASE WHEN l_orderkey % 8 = 0 THEN 1 ELSE 0 END) AS xq,
+   any_value(CASE WHEN l_orderkey % 4 = 0 THEN CAST(quantity * 100.25 AS DECIMAL(16,2)) ELSE 0 END) AS obr,"""),
+    ("q1 > sold", "q1 + oq + xq > sold"), ("WHEN r1 > net", "WHEN r1 + obr > net"), ("uq1 + q2 > sold", "uq1 + q2 + xq > sold"), ("uq2 + q3 > sold", "uq2 + q3 + oq + xq > sold"), ("ur2 + r3 > net", "ur2 + r3 + obr > net"),
+)
+BOOKED_CTE = JUDGED_CTE
+for _old, _new in _BOOKED_SQL:
+    BOOKED_CTE = BOOKED_CTE.replace(_old, _new)
 
 
 def return_rows(spark, sf):
@@ -514,6 +523,20 @@ add("e25_return_reference", f"{JUDGED_CTE} SELECT * FROM judged WHERE reason IN
     lambda spark, sf: judged(spark, sf).where(F.col("reason").isin(_R["no_sale"], _R["cancelled"])).select("source_row_number", "reason"))
 add("e26_return_caps", f"{JUDGED_CTE} SELECT source_row_number, coalesce(reason, '') AS reason, CASE WHEN reason IS NULL THEN 'accepted' ELSE 'rejected' END AS disposition FROM judged")(
     lambda spark, sf: judged(spark, sf).select("source_row_number", F.coalesce("reason", F.lit("")).alias("reason"), "disposition"))
+def booked_returns(spark, sf):
+    """Return facts of an earlier run on the same lines."""
+    s = T.sales(spark, sf).where("l_orderkey % 4 = 0").withColumn("v", F.explode(F.array(F.lit("RET"), F.lit("OLD"), F.lit("NO")))).where("v <> 'OLD' OR l_orderkey % 8 = 0")
+    kind, order, units = F.col("v"), F.col("source_order_id"), F.col("quantity")
+    return s.select(
+        "source_name", F.concat(kind, F.lit("-"), order, F.when(kind == "RET", "-2").otherwise("")).alias("return_id"), F.col("source_line_number").alias("return_line_number"), "source_order_id", "source_line_number",
+        F.when(kind == "RET", "PROCESSED").when(kind == "OLD", "APPROVED").otherwise("REJECTED").alias("return_status"),
+        F.when(kind == "RET", F.floor(units / 3) + 1).when(kind == "OLD", 1).otherwise(units).cast("int").alias("quantity_returned"),
+        F.when(kind == "RET", (units * F.lit("100.25").cast("decimal(5,2)")).cast("decimal(16,2)")).alias("refund_amount"), F.when(kind == "RET", "PROCESSED").otherwise("PENDING").alias("refund_status"),
+    )
+
+
+add("e26_caps_beside_booked_returns", f"{BOOKED_CTE} SELECT source_row_number, coalesce(reason, '') AS reason FROM judged")(
+    lambda spark, sf: R.judge_returns(return_rows(spark, sf), sale_table(spark, sf), booked_returns(spark, sf)).select("source_row_number", F.coalesce("reason", F.lit("")).alias("reason")))
 add("e27_refund_caps", f"{JUDGED_CTE} SELECT source_row_number FROM judged WHERE reason = '{_R['refund_cap']}'")(
     lambda spark, sf: judged(spark, sf).where(F.col("reason") == _R["refund_cap"]).select("source_row_number"))
 add("g40_rejection_reasons", f"{JUDGED_CTE} SELECT reason, count(*) AS events FROM judged WHERE reason IS NOT NULL GROUP BY 1")(lambda spark, sf: R.rejection_reasons(judged(spark, sf)))
