@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from salesloom import contracts as C
 from salesloom.functions import dates, numbers, text
+from salesloom.operators.intervals import interval_join
 from salesloom.operators.skew import HOT_ROWS, annotate_keys, lookup_left_join, running_sum
 
 
@@ -94,30 +95,30 @@ def require_valid_promotions(checked: DataFrame) -> None:
 
 def promotion_metrics(catalogue: DataFrame, checked: DataFrame) -> DataFrame:
     """Catalogue and code counters in one row each side."""
-    left = catalogue.agg(
+    codes = lambda column: checked.agg(column).scalar()
+    return catalogue.agg(
         F.count(F.lit(1)).alias("catalog_checked"),
         F.count_if(F.col("reason").isNull() & F.col("is_first")).alias("catalog_validated"),
         F.count_if(F.col("reason").isNull() & ~F.col("is_first")).alias("catalog_duplicates"),
+    ).select(
+        "*", codes(F.count("promo_code")).alias("promo_codes_checked"),
+        codes(F.count_if(F.col("promo_code").isNotNull() & F.col("promo_reason").isNull())).alias("promo_codes_matched"),
     )
-    right = checked.agg(
-        F.count("promo_code").alias("promo_codes_checked"),
-        F.count_if(F.col("promo_code").isNotNull() & F.col("promo_reason").isNull()).alias("promo_codes_matched"),
-    )
-    one = F.lit(1).alias("_one")
-    return left.select("*", one).join(right.select("*", one), "_one").drop("_one")
 
 
 def active_promotions(days: DataFrame, catalogue: DataFrame, day: str = "order_date") -> DataFrame:
-    """Interval join: promotions active on each day (F4), as an equi-join on the calendar.
+    """Interval join: promotions active on each day (F4); a null start or end date is open."""
+    active = catalogue.where("status = 'active'").select("promo_code", "discount_type", "discount_value", "start_date", "end_date")
+    return interval_join(days, active, day, "start_date", "end_date").drop("start_date", "end_date")
+
 
-    The catalogue is expanded to its days, so the join hashes on the date and
-    no nested loop runs over the sales.
+def promotion_versions(lines: DataFrame, versions: DataFrame, day: str = "order_date") -> DataFrame:
+    """``lines`` with the version of their promotion code that holds on their day (F3, E32); lines without one have nulls.
+
+    A code may have any number of versions with dates of their own; those that overlap each give a row.
     """
-    per_day = (
-        catalogue.where("status = 'active'")
-        .select("promo_code", "discount_type", "discount_value", F.explode(F.sequence("start_date", "end_date")).alias(day))
-    )
-    return days.join(per_day, day, "inner")
+    held = interval_join(lines.select("promo_code", day).distinct(), versions, day, "start_date", "end_date", ["promo_code"])
+    return lines.join(held, ["promo_code", day], "left").select(*lines.columns, *[c for c in held.columns if c not in ("promo_code", day)])
 
 
 def line_discount(lines: DataFrame, catalogue: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:

@@ -285,6 +285,37 @@ add("f4_active_promotions", f"{PROMO_SALES_SQL} SELECT promo_code, count(*) AS d
     lambda spark, sf: promotions.active_promotions(T.sales(spark, sf).select("order_date").distinct(), T.promotions(spark, sf)).groupBy("promo_code").agg(F.count(F.lit(1)).alias("days")))
 
 
+def open_promotions(spark, sf):
+    """The catalogue with open starts and ends, intervals of a hundred years and more, and one that is empty."""
+    i = F.substring("promo_code", 6, 9).cast("int")
+    wide = F.when(i % 5 == 2, 18_262).otherwise(0)
+    start, end = F.date_sub("start_date", wide), F.date_add("end_date", wide)
+    return T.promotions(spark, sf).withColumns({"start_date": F.when(i % 3 != 0, start), "end_date": F.when(i == 11, F.date_sub("start_date", 1)).when(i % 4 != 1, end)})
+
+
+_OPEN_SQL = """, open_promotions AS (SELECT promo_code, status, CASE WHEN i % 3 <> 0 THEN start_date - CASE WHEN i % 5 = 2 THEN 18262 ELSE 0 END END AS start_date,
+  CASE WHEN i = 11 THEN start_date - 1 WHEN i % 4 <> 1 THEN end_date + CASE WHEN i % 5 = 2 THEN 18262 ELSE 0 END END AS end_date FROM (SELECT *, CAST(substr(promo_code, 6) AS INTEGER) AS i FROM promotions))"""
+add("f4_open_promotions", f"""{PROMO_SALES_SQL}{_OPEN_SQL} SELECT promo_code, count(*) AS orders, min(CAST(o_orderdate AS DATE)) AS first_day, max(CAST(o_orderdate AS DATE)) AS last_day FROM orders
+  JOIN open_promotions ON status = 'active' AND CAST(o_orderdate AS DATE) BETWEEN coalesce(start_date, DATE '0001-01-01') AND coalesce(end_date, DATE '9999-12-31') GROUP BY 1""")(
+    lambda spark, sf: promotions.active_promotions(T.table(spark, sf, "orders").select(F.col("o_orderdate").cast("date").alias("order_date")), open_promotions(spark, sf).withColumns({"discount_type": F.lit(""), "discount_value": F.lit(0)}))
+    .groupBy("promo_code").agg(F.count(F.lit(1)).alias("orders"), F.min("order_date").alias("first_day"), F.max("order_date").alias("last_day")))
+
+
+def promotion_versions(spark, sf):
+    """Three versions of every code, one after the other; the last has no end."""
+    v = F.col("version")
+    start = F.date_add("start_date", 300 * v)
+    dated = T.promotions(spark, sf).withColumn("version", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
+    return dated.select("promo_code", "version", start.alias("start_date"), F.when(v < 2, F.date_add(start, 299)).alias("end_date"))
+
+
+add("f3_dated_versions", f"""{PROMO_SALES_SQL} SELECT source_name, source_order_id, source_line_number, coalesce(version, -1) AS version FROM sales s
+  LEFT JOIN (SELECT promo_code, v AS version, start_date + 300 * v AS start_date, CASE WHEN v < 2 THEN start_date + 300 * v + 299 ELSE DATE '9999-12-31' END AS end_date FROM promotions, (VALUES (0), (1), (2)) AS t(v)) p
+  ON p.promo_code = s.promo_code AND order_date BETWEEN p.start_date AND p.end_date""")(
+    lambda spark, sf: promotions.promotion_versions(T.sales(spark, sf).select("source_name", "source_order_id", "source_line_number", "promo_code", "order_date"), promotion_versions(spark, sf))
+    .select("source_name", "source_order_id", "source_line_number", F.coalesce("version", F.lit(-1)).alias("version")))
+
+
 def _promo_lines(spark, sf):
     return T.sales(spark, sf).withColumns({"source": F.col("source_name"), "source_row_number": F.xxhash64("source_order_id", "source_line_number")})
 

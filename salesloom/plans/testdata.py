@@ -291,9 +291,9 @@ products AS (
 
 def promotions(spark: SparkSession, sf: str) -> DataFrame:
     """Promotion catalogue with one code per part residue, its dates from the orders' range."""
-    span = table(spark, sf, "orders").agg(F.min(F.col("o_orderdate").cast("date")).alias("d0"))
+    span = table(spark, sf, "orders").agg(F.min(F.col("o_orderdate").cast("date"))).scalar()
     codes = table(spark, sf, "part").select((F.col("p_partkey") % 12).alias("i")).distinct()
-    return codes.withColumn("_one", F.lit(1)).join(F.broadcast(span.withColumn("_one", F.lit(1))), "_one").select(
+    return codes.withColumn("d0", span).select(
         F.concat(F.lit("PROMO"), F.col("i").cast("string")).alias("promo_code"),
         F.concat(F.lit("Promo "), F.col("i").cast("string")).alias("promo_name"),
         F.when(F.col("i") % 2 == 0, "percentage").otherwise("fixed").alias("discount_type"),
