@@ -37,11 +37,30 @@ def raw_key_columns(rows: DataFrame) -> DataFrame:
 
 
 def changed_rows(rows: DataFrame, known_hashes: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Delta of canonical channel rows with their siblings (K1)."""
+    """Delta of canonical channel rows with their siblings (K1, H7): the changed rows, and the others that share a key with one.
+
+    Only the changed rows are stored; the others meet their keys in a semi join.
+    """
     keyed = raw_key_columns(rows)
     key = ["source", "_key_order", "_key_line"]
-    marked = mark_changed(keyed, known_hashes, key, ["source", "source_row_number"], hot_rows)
-    return marked.where("is_selected").select(*rows.columns)
+    marked = mark_changed(keyed, known_hashes, None, ["source", "source_row_number"], hot_rows)
+    changed = cut_lineage(marked.where("is_changed").select(*keyed.columns))
+    keys = changed.select(*key).dropna().distinct()
+    siblings = marked.where("NOT is_changed").join(keys, key, "left_semi")
+    return changed.select(*rows.columns).unionByName(siblings.select(*rows.columns))
+
+
+def hash_changes(known: DataFrame, current: DataFrame) -> DataFrame:
+    """Hashes that came or went since the last snapshot, with ``gone`` (B14): what its state has to be changed by."""
+    both = known.select("source_name", "payload_hash", F.lit(True).alias("_old")).join(
+        current.select("source_name", "payload_hash").distinct().withColumn("_new", F.lit(True)), ["source_name", "payload_hash"], "full_outer"
+    )
+    return both.where("_old IS NULL OR _new IS NULL").select("source_name", "payload_hash", F.col("_new").isNull().alias("gone"))
+
+
+def apply_hash_changes(known: DataFrame, changes: DataFrame) -> DataFrame:
+    gone = changes.where("gone").select("source_name", "payload_hash")
+    return known.join(gone, ["source_name", "payload_hash"], "left_anti").unionByName(changes.where("NOT gone").select("source_name", "payload_hash"))
 
 
 def changed_returns(
@@ -148,28 +167,65 @@ def snapshot_status(keys: DataFrame, declarations: DataFrame, expected: DataFram
     )
 
 
+def present_keys(keys: DataFrame) -> DataFrame:
+    """Distinct identified keys of a snapshot, under the channel's name."""
+    codes = F.create_map(*[F.lit(x) for k, c in C.CHANNELS.items() for x in (k, c.code)])
+    found = keys.where("key_problem IS NULL").select(codes[F.col("source")].alias("source_name"), "source_order_id", "source_line_number")
+    return found.distinct()
+
+
+def key_digests(rows: DataFrame, buckets: int) -> DataFrame:
+    """(source_name, bucket, n, digest): an order-free digest of the distinct keys of each bucket, two sums of 64-bit hashes and their count.
+
+    Sums are combined before the shuffle; at most channels times buckets rows come out.
+    """
+    key = ["source_name", "source_order_id", "source_line_number"]
+    sums = [F.sum(F.xxhash64(*extra, *key).cast("decimal(38,0)")) for extra in ([], [F.lit(7)])]
+    grouped = rows.select(*key, F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int").alias("bucket")).groupBy("source_name", "bucket")
+    return grouped.agg(F.count(F.lit(1)).alias("n"), F.concat_ws(":", *[s.cast("string") for s in sums]).alias("digest"))
+
+
+def differing_buckets(ours: DataFrame, theirs: DataFrame) -> DataFrame:
+    """(source_name, bucket) of the buckets whose keys are not the same in both."""
+    on = ["source_name", "bucket"]
+    both = ours.select(*on, F.col("digest").alias("_a"), F.col("n").alias("_n")).join(theirs.select(*on, F.col("digest").alias("_b"), F.col("n").alias("_m")), on, "full_outer")
+    same = (F.coalesce("_n", F.lit(0)) == F.coalesce("_m", F.lit(0))) & (F.coalesce("_a", F.lit("")) == F.coalesce("_b", F.lit("")))
+    return both.where(~same).select(*on)
+
+
+def missing_facts(facts: DataFrame, keys: DataFrame, status: DataFrame) -> DataFrame:
+    """Keys of active facts that a complete snapshot no longer holds."""
+    key = ["source_name", "source_order_id", "source_line_number"]
+    complete = status.where("status = 'SUCCESS'").select("source_name")
+    active = facts.where("is_source_active").select(*key).join(F.broadcast(complete), "source_name", "left_semi")  # one row per channel
+    return active.join(present_keys(keys), key, "left_anti")
+
+
+def deactivate(facts: DataFrame, gone: DataFrame) -> DataFrame:
+    """Facts with ``is_source_active`` cleared for the keys that are gone (K6); ``_deactivated`` marks them."""
+    key = ["source_name", "source_order_id", "source_line_number"]
+    joined = facts.join(gone.select(*key, F.lit(True).alias("_gone")), key, "left").withColumn("_deactivated", F.col("_gone").isNotNull() & F.col("is_source_active"))
+    columns = [(F.col(c) & ~F.col("_deactivated")).alias(c) if c == "is_source_active" else F.col(c) for c in facts.columns]
+    return joined.select(*columns, "_deactivated")
+
+
 def reconcile_facts(facts: DataFrame, keys: DataFrame, status: DataFrame) -> DataFrame:
     """Facts with ``is_source_active`` cleared where a complete snapshot no longer holds them.
 
     ``_deactivated`` marks the rows this run switched off.
     """
-    codes = F.create_map(*[F.lit(x) for k, c in C.CHANNELS.items() for x in (k, c.code)])
-    present = (
-        keys.where("key_problem IS NULL")
-        .select(codes[F.col("source")].alias("source_name"), "source_order_id", "source_line_number")
-        .distinct()
-        .withColumn("_present", F.lit(True))
-    )
-    complete = status.where("status = 'SUCCESS'").select("source_name", F.lit(True).alias("_complete"))
-    joined = facts.join(F.broadcast(complete), "source_name", "left").join(  # one row per channel
-        present, ["source_name", "source_order_id", "source_line_number"], "left"
-    )
-    gone = F.col("is_source_active") & F.col("_complete").isNotNull() & F.col("_present").isNull()
-    marked = joined.withColumn("_deactivated", gone)
-    columns = [
-        (F.col(c) & ~F.col("_deactivated")).alias(c) if c == "is_source_active" else F.col(c) for c in facts.columns
-    ]
-    return marked.select(*columns, "_deactivated")
+    return deactivate(facts, missing_facts(facts, keys, status))
+
+
+def reconcile_differing(facts: DataFrame, keys: DataFrame, status: DataFrame, buckets: int) -> DataFrame:
+    """reconcile_facts() by digests: only buckets whose active facts differ from the snapshot are joined, the others pass."""
+    place = F.pmod(F.xxhash64("source_name", "source_order_id", "source_line_number"), F.lit(buckets)).cast("int")
+    differ = differing_buckets(key_digests(facts.where("is_source_active"), buckets), key_digests(present_keys(keys), buckets))
+    differ = cut_lineage(differ.join(F.broadcast(status.where("status = 'SUCCESS'").select("source_name")), "source_name", "left_semi"))
+    places = F.broadcast(differ.withColumn("_differs", F.lit(True)))  # at most channels times buckets rows
+    split = facts.withColumn("bucket", place).join(places, ["source_name", "bucket"], "left")
+    same = split.where("_differs IS NULL").select(*facts.columns, F.lit(False).alias("_deactivated"))
+    return same.unionByName(reconcile_facts(split.where("_differs").select(*facts.columns), keys, status))
 
 
 def reconciliation_audit(status: DataFrame, reconciled: DataFrame) -> DataFrame:

@@ -104,6 +104,19 @@ def to_staging(clean: DataFrame) -> DataFrame:
     )
 
 
+def latest_raw(raw_index: DataFrame) -> DataFrame:
+    """The newest raw record of each source row (H5)."""
+    newest = F.max(F.struct("loaded_at", "raw_record_id", "ingestion_run_id")).alias("_n")
+    return raw_index.groupBy("source_name", "source_row_number").agg(newest).select(
+        "source_name", "source_row_number", "_n.ingestion_run_id", "_n.loaded_at", "_n.raw_record_id"
+    )
+
+
+def advance_raw_index(old: DataFrame, new: DataFrame) -> DataFrame:
+    """The index of latest raw records after a run's rows (F16): only the rows of its buckets meet."""
+    return latest_raw(old.unionByName(new.select(*old.columns)))
+
+
 def with_raw_lineage(staged: DataFrame, raw_index: DataFrame, run_id: str) -> DataFrame:
     """Raw record of each staged row: this run's, else the newest of that source row (F16, H5).
 

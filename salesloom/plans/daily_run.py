@@ -2,9 +2,9 @@
 
 Order of work: promotion and return scans, raw promotion rows, channel scans,
 delta, promotion check, raw rows, quality, record delta, staging, dimensions,
-facts, reconciliation, returns, snapshots, audit, watermarks, one commit. Raw
-rows are kept when a later step fails; everything else becomes visible with
-the commit only.
+facts, reconciliation, returns, audit, watermarks, and last the snapshots the
+next run starts from. A run that failed is run again under its own id: raw and audit rows
+are partitions of the run's steps and are replaced, upserts leave the same rows.
 """
 
 from __future__ import annotations
@@ -22,14 +22,23 @@ from salesloom.functions import dates, numbers, text
 from salesloom.operators import audit, delta, merge, promotions, quality as Q, returns as R, warehouse as W
 from salesloom.session import cut_lineage
 from salesloom.sources import files, manifest, sinks
-from salesloom.sources.store import TableStore
-
-SCHEMAS = {**W.DIM_SCHEMAS, **W.FACT_SCHEMAS, **W.STAGING_SCHEMAS, **audit.AUDIT_SCHEMAS}
+from salesloom.sources.tables import Tables
+
+SCHEMAS = {
+    **W.DIM_SCHEMAS, **W.FACT_SCHEMAS, **W.STAGING_SCHEMAS, **audit.AUDIT_SCHEMAS,
+    "raw_index": "source_name string, source_row_number bigint, ingestion_run_id string, loaded_at timestamp, raw_record_id string",
+    "fact_digests": "source_name string, bucket_no int, n bigint, digest string",
+}
+#: Tables in parts and key buckets: column of the part, key.
+KEYED = {
+    "fact_sales": ("source_name", W.SALE_KEY), "stg_sales": ("source_name", W.SALE_KEY), "fact_returns": ("source_name", W.RETURN_KEY), "stg_returns": ("source_name", W.RETURN_KEY),
+    "snapshot_hashes": ("source_name", ["payload_hash"]), "raw_index": ("source_name", ["source_name", "source_row_number"]),
+}
 RAW_COLUMNS = ["source_file", "source_row_number"]
 
 
-def open_store(spark: SparkSession, root: str) -> TableStore:
-    return TableStore(spark, root, SCHEMAS)
+def open_store(spark: SparkSession, root: str, buckets: int = 16) -> Tables:
+    return Tables(spark, root, SCHEMAS, KEYED, buckets)
 
 
 @dataclass
@@ -37,7 +46,7 @@ class Run:
     """Identity and counters of one run; ``now`` is passed in so runs can be repeated."""
 
     spark: SparkSession
-    store: TableStore
+    store: Tables
     folder: str
     run_id: str
     started: datetime
@@ -59,9 +68,9 @@ class Run:
         self.stages.append((self.run_id, name, "SUCCESS", began, ended, round((ended - began).total_seconds()), int(records), None))
 
 
-def run_batch(spark: SparkSession, folder: str, root: str, run_id: str, now: datetime) -> dict:
+def run_batch(spark: SparkSession, folder: str, root: str, run_id: str, now: datetime, buckets: int = 16) -> dict:
     """Load what changed in ``folder`` since the last successful run; returns the run's counters."""
-    run = Run(spark, open_store(spark, root), folder, run_id, now)
+    run = Run(spark, open_store(spark, root, buckets), folder, run_id, now)
     try:
         _load(run)
     except Exception as error:
@@ -118,8 +127,7 @@ def _load(run: Run) -> None:
     reconcilable = {code for code, d in declared.items() if d.is_reconcilable}
     if not sum(counts.values()) and not promo_changed and not return_count:
         deactivated = _reconcile(run, channels, declared) if reconcilable else 0
-        _save_snapshots(run, sources, snapshots)
-        _finish(run, deactivated_records=deactivated, outcome="no change")
+        _finish(run, sources, snapshots, deactivated_records=deactivated, outcome="no change")
         return
 
     catalogue = promotions.valid_catalogue(promotions.read_catalogue(promo.frame))
@@ -154,24 +162,25 @@ def _load(run: Run) -> None:
 
     result = Q.QualityResult(analyzed, analyzed)
     staged = W.to_staging(result.clean)
-    staged = delta.changed_records(staged, store.read("fact_sales"), store.read("stale_corrections"))
-    staged = cut_lineage(W.with_raw_lineage(staged, _raw_index(run), run.run_id))
+    staged = cut_lineage(staged)
+    facts = store.read("fact_sales", places=store.places("fact_sales", staged))
+    staged = delta.changed_records(staged, facts, store.read("stale_corrections"))
+    index = store.read("raw_index", places=store.places("raw_index", staged))
+    staged = cut_lineage(W.with_raw_lineage(staged, index, run.run_id))
     split = staged.agg(F.count(F.lit(1)).alias("n"), F.count_if("is_new").alias("new")).first()
     run.counters.update(incremental_records=split["n"], fact_inserted_records=split["new"], fact_skipped_records=max(totals["clean"] - split["n"], 0))
     staging_rows = staged.drop("is_new")
-    store.stage("stg_sales", W.merge_staging(store.read("stg_sales"), staging_rows, run.run_id, run.now).drop("merge_action"))
+    store.change("stg_sales", staging_rows, lambda old, new: W.merge_staging(old, new, run.run_id, run.now))
     run.counters["staged_records"] = split["n"]
 
     dims = _load_dimensions(run, clean_products, product_delta, staging_rows, catalogue if promo_changed else None)
     run.counters["loaded_records"] = _load_facts(run, staging_rows, dims)
-    stale = delta.resolve_corrections(store.read("stale_corrections"), staging_rows, run.run_id, run.now)
-    store.stage("stale_corrections", stale)
+    store.replace("stale_corrections", delta.resolve_corrections(store.read("stale_corrections"), staging_rows, run.run_id, run.now))
     deactivated = _reconcile(run, channels, declared)
     returned = _load_returns(run, return_delta) if return_count else {}
-    _save_snapshots(run, sources, snapshots)
     _quality_audit(run, [products, analyzed], result)
     _watermarks(run, [products, analyzed])
-    _finish(run, deactivated_records=deactivated, outcome="loaded", **returned)
+    _finish(run, sources, snapshots, deactivated_records=deactivated, outcome="loaded", **returned)
 
 
 def _canonical(source: files.LandedSource, key: str) -> DataFrame:
@@ -204,20 +213,16 @@ def _typed_lines(rows: DataFrame) -> DataFrame:
 
 
 def _append_raw(run: Run, source: files.LandedSource, rows: DataFrame) -> None:
+    """Raw rows of a source (B1-B3) and their entry; channel rows advance the index of latest records (F16, H5)."""
     seen = Observation()
     landed = sinks.raw_rows(rows, list(source.columns), run.run_id, run.now)
-    run.store.append(source.raw_table, landed.observe(seen, F.count(F.lit(1)).alias("n")))
+    run.store.log(source.raw_table, landed.observe(seen, F.count(F.lit(1)).alias("n")), run.run_id, source.key)
     entry = [(run.run_id, source.name, source.path.split("/")[-1], source.path, source.checksum, source.file_format, int(seen.get["n"]), run.started)]
-    run.store.append("source_ingestions", run.spark.createDataFrame(entry, SCHEMAS["source_ingestions"]))
-
-
-def _raw_index(run: Run) -> DataFrame:
-    parts = []
-    for contract in C.CHANNELS.values():
-        log = run.store.read_log(contract.raw_table)
-        if log is not None:
-            parts.append(log.select(F.lit(contract.code).alias("source_name"), "source_row_number", "ingestion_run_id", "loaded_at", "raw_record_id"))
-    return _union(parts)
+    run.store.log("source_ingestions", run.spark.createDataFrame(entry, SCHEMAS["source_ingestions"]), run.run_id, source.key)
+    if source.key in C.CHANNELS:
+        written = run.store.read_log(source.raw_table, run.run_id)
+        fresh = written.select(F.lit(source.name).alias("source_name"), "source_row_number", "ingestion_run_id", "loaded_at", "raw_record_id")
+        run.store.change("raw_index", W.latest_raw(fresh), W.advance_raw_index)
 
 
 def _load_dimensions(run, clean_products, product_delta, staged, catalogue) -> dict[str, DataFrame]:
@@ -232,43 +237,49 @@ def _load_dimensions(run, clean_products, product_delta, staged, catalogue) -> d
     }
     if catalogue is not None:
         merged["dim_promotion"] = W.merge_promotions(store.read("dim_promotion"), catalogue)
-    tables = {name: store.stage(name, df) for name, df in merged.items()}
+    tables = {name: store.replace(name, df) for name, df in merged.items()}
     run.stage("dimension_load")
     return tables
 
 
 def _load_facts(run: Run, staged: DataFrame, dims: dict[str, DataFrame]) -> int:
-    """Merge per channel: only the parts of channels with staged rows are rewritten."""
-    touched = [r["source_name"] for r in staged.select("source_name").distinct().collect()]  # at most four
-    resolved, written = cut_lineage(staged), 0
-    for code in sorted(touched):
-        seen = Observation()
-        merged = W.merge_sales_facts(run.store.read("fact_sales", code), resolved.where(F.col("source_name") == code), dims, run.now)
-        counted = merged.observe(seen, F.count_if(F.col("merge_action") != "keep").alias("n"))
-        run.store.stage("fact_sales", counted, code)
-        written += int(seen.get["n"])
+    """Merge the buckets of the staged keys, and no others."""
+    seen = Observation()
+    places = run.store.change("fact_sales", staged, lambda old, new: W.merge_sales_facts(old, new, dims, run.now).observe(seen, F.count_if(F.col("merge_action") != "keep").alias("n")))
+    written = int(seen.get["n"]) if places else 0
+    _digest_facts(run, places)
     run.stage("fact_load", written)
     return written
 
 
+def _digest_facts(run: Run, places: list) -> None:
+    """Digests of the active keys of fact buckets that were written, read back by key."""
+    if not places:
+        return
+    store = run.store
+    fresh = delta.key_digests(store.read("fact_sales", places=places).where("is_source_active"), store.buckets).withColumnRenamed("bucket", "bucket_no")
+    touched = run.spark.createDataFrame(places, "source_name string, bucket_no int")
+    others = store.read("fact_digests").join(F.broadcast(touched), ["source_name", "bucket_no"], "left_anti")
+    store.replace("fact_digests", others.unionByName(fresh))
+
+
 def _reconcile(run: Run, channels: dict, declared: dict) -> int:
+    """Switch off facts that complete snapshots lack (K5, K6, F11): digests first, then only the buckets that differ."""
     spark, store = run.spark, run.store
     keys = delta.snapshot_keys(_union([_canonical(s, k) for k, s in channels.items() if declared[s.name].is_reconcilable] or [_canonical(next(iter(channels.values())), next(iter(channels))).limit(0)]))
     expected = spark.createDataFrame([(s.name, s.records) for s in channels.values()], "source_name string, source_records bigint")
     status = cut_lineage(delta.snapshot_status(keys, manifest.declaration_rows(spark, declared), expected))
-    total, parts = 0, []
-    for row in status.collect():  # one row per channel
-        gone = 0
-        if row["status"] == "SUCCESS":
-            seen = Observation()
-            reconciled = delta.reconcile_facts(store.read("fact_sales", row["source_name"]), keys, status)
-            counted = reconciled.observe(seen, F.count_if("_deactivated").alias("n"))
-            store.stage("fact_sales", counted, row["source_name"])
-            gone = int(seen.get["n"])
-        total += gone
-        parts.append((row["source_name"], gone))
-    gone = spark.createDataFrame(parts, "source_name string, deactivated_records bigint")
-    store.append("reconciliations", status.join(F.broadcast(gone), "source_name").withColumns({"run_id": F.lit(run.run_id), "reconciled_at": run.now}))
+    complete = status.where("status = 'SUCCESS'").select("source_name")
+    ours = store.read("fact_digests").withColumnRenamed("bucket_no", "bucket")
+    differ = delta.differing_buckets(ours, delta.key_digests(delta.present_keys(keys), store.buckets)).join(F.broadcast(complete), "source_name", "left_semi")
+    places = [(r["source_name"], r["bucket"]) for r in differ.collect()]  # at most channels times buckets
+    gone = cut_lineage(delta.missing_facts(store.read("fact_sales", places=places), keys, status))
+    counts = gone.groupBy("source_name").agg(F.count(F.lit(1)).alias("deactivated_records"))
+    audited = status.join(F.broadcast(counts), "source_name", "left").withColumn("deactivated_records", F.coalesce("deactivated_records", F.lit(0)))
+    store.log("reconciliations", audited.withColumns({"run_id": F.lit(run.run_id), "reconciled_at": run.now}), run.run_id, "all")
+    total = gone.count()
+    if total:
+        _digest_facts(run, store.change("fact_sales", gone, delta.deactivate))
     run.stage("source_reconciliation", total)
     return total
 
@@ -279,21 +290,21 @@ def _load_returns(run: Run, rows: DataFrame) -> dict:
     accepted = judged.where("disposition = 'accepted'")
     rejected = judged.where("disposition = 'rejected'")
     counts = {r["disposition"]: r["count"] for r in judged.groupBy("disposition").count().collect()}
-    merged_staging = W.merge_staging(store.read("stg_returns"), accepted, run.run_id, run.now, W.RETURN_KEY, with_run=False)
-    store.stage("stg_returns", merged_staging.drop("merge_action"))
-    merged = cut_lineage(W.merge_return_facts(store.read("fact_returns"), accepted, run.run_id, run.now))
+    store.change("stg_returns", accepted, lambda old, new: W.merge_staging(old, new, run.run_id, run.now, W.RETURN_KEY, with_run=False))
+    places = store.places("fact_returns", accepted)
+    merged = cut_lineage(W.merge_return_facts(store.read("fact_returns", places=places), accepted, run.run_id, run.now))
     actions = merge.merge_counts(merged)
     raw = rows.join(rejected.select("source_row_number", F.col("reason").alias("rejection_reason")), "source_row_number")
     found = delta.return_corrections(raw, store.read("fact_returns"))
     stale = delta.open_corrections(store.read("stale_corrections"), found, run.run_id, run.now)
     stale = delta.resolve_corrections(stale, delta.resolved_by_returns(accepted), run.run_id, run.now)
-    store.stage("stale_corrections", cut_lineage(stale))
-    store.stage("fact_returns", merged)
-    store.append("rejected_records", audit.return_rejected_audit(rejected).withColumns({"run_id": F.lit(run.run_id), "rejected_at": run.now}))
+    store.replace("stale_corrections", cut_lineage(stale))
+    store.write("fact_returns", merged, places)
+    store.log("rejected_records", audit.return_rejected_audit(rejected).withColumns({"run_id": F.lit(run.run_id), "rejected_at": run.now}), run.run_id, "returns")
     n_rejected = counts.get("rejected", 0)
     if n_rejected:
         finding = [(run.run_id, "RETURN_EVENTS", "INVALID_RETURN_EVENT", "ERROR", None, "return_event", n_rejected, run.started)]
-        store.append("quality_results", run.spark.createDataFrame(finding, SCHEMAS["quality_results"]))
+        store.log("quality_results", run.spark.createDataFrame(finding, SCHEMAS["quality_results"]), run.run_id, "returns")
     run.stage("return_fact_load", actions["inserted"] + actions["updated"])
     return {
         "return_valid": counts.get("accepted", 0), "return_rejected": n_rejected, "return_duplicates": counts.get("duplicate", 0),
@@ -302,27 +313,28 @@ def _load_returns(run: Run, rows: DataFrame) -> dict:
 
 
 def _save_snapshots(run: Run, sources: list, previous: dict) -> None:
-    """Checksum, row count and distinct payload hashes; unchanged sources carry over."""
+    """Checksum, row count and distinct payload hashes (B14); of the hashes only what came or went is written."""
     store, rows = run.store, []
     for source in sources:
         rows.append((source.name, source.checksum, source.records, run.run_id, run.started))
         old = previous.get(source.name) or {}
         if old.get("file_checksum_sha256") != source.checksum:
-            hashes = source.frame.select(F.lit(source.name).alias("source_name"), "payload_hash").distinct()
-            store.stage("snapshot_hashes", hashes, source.name)
-    fresh = run.spark.createDataFrame(rows, SCHEMAS["source_snapshots"])
-    store.stage("source_snapshots", fresh)
+            current = source.frame.select(F.lit(source.name).alias("source_name"), "payload_hash")
+            store.change("snapshot_hashes", delta.hash_changes(store.read("snapshot_hashes", source.name), current), delta.apply_hash_changes)
+    store.replace("source_snapshots", run.spark.createDataFrame(rows, SCHEMAS["source_snapshots"]))
 
 
 def _quality_audit(run: Run, annotated: list[DataFrame], sales: Q.QualityResult) -> None:
     store, stamp = run.store, {"run_id": F.lit(run.run_id)}
-    for frame in annotated:
+    for step, frame in zip(("product", "sales"), annotated):
         findings = audit.rule_counts(Q.issue_rows(frame))
-        store.append("quality_results", findings.withColumns({**stamp, "evaluated_at": run.now}))
+        store.log("quality_results", findings.withColumns({**stamp, "evaluated_at": run.now}), run.run_id, step)
         rejected = audit.rejected_audit(Q.QualityResult(frame, frame).rejected)
-        store.append("rejected_records", rejected.withColumns({**stamp, "rejected_at": run.now}))
-    found = delta.sales_corrections(audit.rejected_audit(sales.rejected), store.read("fact_sales"))
-    store.stage("stale_corrections", delta.open_corrections(store.read("stale_corrections"), found, run.run_id, run.now))
+        store.log("rejected_records", rejected.withColumns({**stamp, "rejected_at": run.now}), run.run_id, step)
+    refused = cut_lineage(audit.rejected_audit(sales.rejected))
+    known = store.read("fact_sales", places=store.places("fact_sales", refused.where("source_order_id IS NOT NULL AND source_line_number IS NOT NULL")))
+    found = delta.sales_corrections(refused, known)
+    store.replace("stale_corrections", delta.open_corrections(store.read("stale_corrections"), found, run.run_id, run.now))
 
 
 def _watermarks(run: Run, annotated: list[DataFrame]) -> None:
@@ -333,13 +345,14 @@ def _watermarks(run: Run, annotated: list[DataFrame]) -> None:
         run.now.alias("last_processed_at"), F.col("valid_records").cast("string").alias("last_business_key"),
     )
     merged = merge.merge_upsert(run.store.read("watermarks"), new, ["pipeline_name", "source_name"])
-    run.store.stage("watermarks", merged)
+    run.store.replace("watermarks", merged)
 
 
-def _finish(run: Run, **extra) -> None:
+def _finish(run: Run, sources: list, previous: dict, **extra) -> None:
+    """Last the snapshots: until then the next run starts where this one did."""
     run.counters.update(extra)
-    run.store.append("stage_runs", run.spark.createDataFrame(run.stages, SCHEMAS["stage_runs"].replace("decimal(12,3)", "int")))
-    run.store.commit()
+    _save_snapshots(run, sources, previous)
+    run.store.log("stage_runs", run.spark.createDataFrame(run.stages, SCHEMAS["stage_runs"].replace("decimal(12,3)", "int")), run.run_id, "all")
     _write_run(run, "SUCCESS", None)
 
 
@@ -352,10 +365,10 @@ def _write_run(run: Run, status: str, error: str | None) -> None:
         "validated_records": c.get("valid_records"), "rejected_records": c.get("invalid_records"),
     }
     row = [tuple(values.get(n) for n in names)]
-    run.store.append("pipeline_runs", run.spark.createDataFrame(row, SCHEMAS["pipeline_runs"]))
+    run.store.log("pipeline_runs", run.spark.createDataFrame(row, SCHEMAS["pipeline_runs"]), run.run_id, "all")
 
 
-def warehouse_detail(store: TableStore) -> DataFrame:
+def warehouse_detail(store: Tables) -> DataFrame:
     """The reporting view of a store, in the column names the KPI builders take."""
     dims = {n: store.read(n) for n in W.DIM_SCHEMAS}
     return W.sales_detail(store.read("fact_sales"), dims, store.read("fact_returns"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from salesloom import contracts as C
@@ -10,6 +12,8 @@ from salesloom.operators import delta, merge, returns as R, warehouse as W
 from salesloom.plans import testdata as T
 from salesloom.plans.sales_queries import big, dbl
 from salesloom.plans.testdata import RETURN_SQL, SALES_SQL, present
+from salesloom.session import cut_lineage, ensure_checkpoint_dir
+from salesloom.sources.tables import Tables
 
 QUERIES: dict = {}
 KEY = W.SALE_KEY
@@ -82,6 +86,32 @@ def _facts(spark, sf):
 _FACT = """CASE WHEN in_new AND NOT in_old THEN 'insert' WHEN in_new AND (oq <> nq OR NOT active) THEN 'update' ELSE 'keep' END"""
 add("b12_fact_merge", f"{STATES_SQL}, a AS (SELECT *, {_FACT} AS merge_action FROM merged) SELECT {KEYS}, CASE merge_action WHEN 'keep' THEN oq ELSE nq END AS quantity, CASE merge_action WHEN 'keep' THEN active ELSE true END AS is_source_active, CASE merge_action WHEN 'keep' THEN '2026-01-01 00:00:00' ELSE '2026-01-02 00:00:00' END AS loaded_at, merge_action FROM a")(
     lambda spark, sf: _facts(spark, sf).drop("source_record_hash"))
+_B12_SQL = QUERIES["b12_fact_merge"][1]
+
+
+def _bucket_merge(spark, sf):
+    """The same merge on stored tables: the buckets of a hundredth of the orders are changed first, then those of all staged keys."""
+    schema = "source_name string, source_order_id string, source_line_number int, quantity int, source_record_hash string, is_source_active boolean, loaded_at timestamp, merge_action string"
+    tables = Tables(spark, f"{ensure_checkpoint_dir(spark)}/tables-{uuid.uuid4().hex}", {"facts": schema}, {"facts": ("source_name", KEY)})
+    columns = [*KEY, "quantity", "source_record_hash", "is_source_active"]
+    changed = ~F.col("o.source_record_hash").eqNullSafe(F.col("n.source_record_hash")) | ~F.col("o.is_source_active")
+
+    def merged(old, new):
+        """A key that an earlier change of this load inserted or updated keeps that action."""
+        before = old.select(*KEY, F.col("merge_action").alias("_was"))
+        out = merge.merge_upsert(old.drop("merge_action"), new, KEY, changed)
+        action = F.when(F.col("merge_action") == "keep", F.coalesce("_was", F.lit("keep"))).otherwise(F.col("merge_action"))
+        return out.join(before, KEY, "left").withColumn("merge_action", action).drop("_was")
+
+    old = old_sales(spark, sf).select(*columns, before().alias("loaded_at"), F.lit("keep").alias("merge_action"))
+    new = new_sales(spark, sf).withColumn("is_source_active", F.lit(True)).select(*columns, now().alias("loaded_at"))
+    tables.write("facts", old, tables.places("facts", old))
+    tables.change("facts", new.where(order_no() % 100 == 1), merged)
+    tables.change("facts", new, merged)
+    return tables.read("facts").drop("source_record_hash")
+
+
+add("b12_bucket_merge", _B12_SQL)(_bucket_merge)
 add("k7_reactivated", f"{STATES_SQL} SELECT {KEYS} FROM merged WHERE in_new AND in_old AND NOT active")(
     lambda spark, sf: new_sales(spark, sf).select(*KEY).join(old_sales(spark, sf).where("NOT is_source_active").select(*KEY), KEY, "left_semi"))
 add("k13_insert_update_split", f"{STATES_SQL} SELECT {_FACT} AS merge_action, count(*) AS records FROM merged GROUP BY 1")(
@@ -487,6 +517,30 @@ _GONE = f"""{STATES_SQL}, rec AS (SELECT o.source_name, o.source_order_id, o.sou
   FROM old_sales o LEFT JOIN new_sales n USING ({KEYS}))"""
 add("k6_reconciled_facts", f"{_GONE} SELECT {KEYS}, active AND NOT gone AS is_source_active, gone AS deactivated FROM rec")(
     lambda spark, sf: _reconciled(spark, sf)[1].select(*KEY, "is_source_active", F.col("_deactivated").alias("deactivated")))
+
+
+def _reconciled_by_digest(spark, sf):
+    keys = cut_lineage(delta.snapshot_keys(_snapshot_rows(spark, sf)))
+    expected = T.sales(spark, sf).where("l_orderkey % 3 <> 0 OR l_orderkey % 5 = 0").groupBy("source_name").agg(F.count(F.lit(1)).alias("source_records"))
+    status = cut_lineage(delta.snapshot_status(keys, _declarations(spark, sf), expected))
+    facts = cut_lineage(old_sales(spark, sf).select(*KEY, "is_source_active"))
+    return delta.reconcile_differing(facts, keys, status, 4096).select(*KEY, "is_source_active", F.col("_deactivated").alias("deactivated"))
+
+
+add("k6_reconciled_by_digest", QUERIES["k6_reconciled_facts"][1])(_reconciled_by_digest)
+
+
+def _hash_states(spark, sf):
+    mark = lambda df: df.select("source_name", F.concat_ws("-", "source_order_id", "source_line_number", "quantity").alias("payload_hash"))
+    return mark(old_sales(spark, sf)), mark(new_sales(spark, sf))
+
+
+_HASHES_SQL = f"""{STATES_SQL}, o AS (SELECT DISTINCT source_name, source_order_id || '-' || source_line_number || '-' || quantity AS payload_hash FROM old_sales),
+n AS (SELECT DISTINCT source_name, source_order_id || '-' || source_line_number || '-' || quantity AS payload_hash FROM new_sales)"""
+add("b14_hash_changes", f"{_HASHES_SQL} SELECT source_name, payload_hash, n.source_name IS NULL AS gone FROM (SELECT *, 1 AS a FROM o) o FULL JOIN (SELECT *, 1 AS b FROM n) n USING (source_name, payload_hash) WHERE a IS NULL OR b IS NULL".replace("n.source_name IS NULL", "b IS NULL"))(
+    lambda spark, sf: delta.hash_changes(*_hash_states(spark, sf)))
+add("b14_hash_state", f"{_HASHES_SQL} SELECT * FROM n")(
+    lambda spark, sf: (lambda known, current: delta.apply_hash_changes(known, delta.hash_changes(known, current)))(*_hash_states(spark, sf)))
 add("f11_missing_facts", f"{_GONE} SELECT {KEYS} FROM rec WHERE gone")(lambda spark, sf: _reconciled(spark, sf)[1].where("_deactivated").select(*KEY))
 add("k5_snapshot_keys", f"{STATES_SQL} SELECT source_name, count(*) AS observed, count(*) FILTER (WHERE source_name = 'TOKOPEDIA' AND l_orderkey % 50 = 1) AS unidentified FROM new_sales GROUP BY 1")(
     lambda spark, sf: delta.snapshot_keys(_snapshot_rows(spark, sf)).groupBy(_code("source").alias("source_name")).agg(F.count(F.lit(1)).alias("observed"), F.count("key_problem").alias("unidentified")))
