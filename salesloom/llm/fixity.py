@@ -41,8 +41,10 @@ def tree(leaves: DataFrame) -> list[DataFrame]:
     """
     hashed = F.sha2(F.concat_ws(":", "page_id", "length", "digest"), 256)
     level = stash(leaves.select("replica", "pos", hashed.alias("hash"), F.col("first_byte").alias("low"), (F.col("first_byte") + F.col("length")).alias("high"), F.lit(1).cast("long").alias("n"), "page_id", "file", "length"), "leaves")
+    low, high = level.agg(F.min("pos"), F.max("pos")).first()
+    level = level.withColumn("pos", F.col("pos") - F.lit(low or 0))  # page ids may be negative: the tree stands over 0 and up
     levels = [level]
-    top = level.agg(F.max("pos")).first()[0]
+    top = high - low if low is not None else 0
     while top:
         child = F.sort_array(F.collect_list(F.struct("pos", "hash")))
         grouped = levels[-1].groupBy("replica", F.shiftright("pos", BITS).alias("up")).agg(child.alias("c"), F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"))

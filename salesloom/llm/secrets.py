@@ -162,12 +162,17 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     return judge(with_features(found, words), train(with_features(stash(drawn(known), "drawn"), words)))
 
 
-def redact(docs: DataFrame, findings: DataFrame, mark: str = "[secret]") -> DataFrame:
-    """The same documents, with every value judged a secret replaced by the mark."""
-    secrets = findings.where("is_secret").groupBy(F.col("doc_id").alias("_id")).agg(F.sort_array(F.collect_set(F.struct(F.length("value").alias("size"), "value")), asc=False).alias("_values"))
-    cleaned = F.aggregate(F.col("_values.value"), F.col("text").cast("string"), lambda t, v: F.replace(t, v, F.lit(mark)))
-    columns = [F.when(F.col("_values").isNull(), F.col("text")).otherwise(cleaned).alias("text") if c == "text" else F.col(c) for c in docs.columns]
-    return docs.join(secrets, F.col("doc_id").eqNullSafe(F.col("_id")), "left").select(*columns)
+def redact(docs: DataFrame, findings: DataFrame, mark: str = "[secret]", key: str = "doc_id") -> DataFrame:
+    """The same documents, with every value judged a secret replaced by the mark.
+
+    key: the column of the documents that the findings' doc_id holds. Columns may have any names; a null key meets the findings without one.
+    """
+    sized = F.struct(F.length("value").alias("size"), "value")
+    secrets = findings.where("is_secret").groupBy("doc_id").agg(F.sort_array(F.collect_set(sized), asc=False).alias("found")).alias("f")
+    text = F.col("d.text")
+    cleaned = F.aggregate(F.col("f.found.value"), text.cast("string"), lambda t, v: F.replace(t, v, F.lit(mark)))
+    columns = [F.when(F.col("f.found").isNull(), text).otherwise(cleaned).alias("text") if c == "text" else F.col(f"d.`{c}`") for c in docs.columns]
+    return docs.alias("d").join(secrets, F.col(f"d.`{key}`").eqNullSafe(F.col("f.doc_id")), "left").select(*columns)
 
 
 def op1_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
