@@ -304,7 +304,9 @@ def repair(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     pieces = segments(rows)
     kind = pieces.schema["conv_id"].dataType
     narrow = pieces.select("conv_id", "part", "nth", "codes", "low", "high", "turns", "first_turn", "last_turn")
-    sorted_ = narrow.repartition("conv_id").sortWithinPartitions("conv_id", "part", "nth")
+    # a fixed number of partitions: rows of some bytes take long to solve, joined up by their size they would fill one task
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sorted_ = narrow.repartition(tasks, "conv_id").sortWithinPartitions("conv_id", "part", "nth")
     solved = sorted_.mapInArrow(_solve(to_arrow_type(kind)), f"conv_id {kind.simpleString()}, {STEPS}")
     return pieces, stash(solved, "steps")
 
