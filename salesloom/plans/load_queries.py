@@ -213,7 +213,6 @@ add("f13_return_corrections", f"""{RSTATES_SQL}, p AS (SELECT CASE WHEN CAST(sou
 SELECT 'RETURN_EVENTS' AS source_name, f.source_name || ':' || f.return_id AS source_order_id, f.return_line_number AS source_line_number, max(rn) AS source_row_number, 'bad' AS rejection_reason
 FROM old_r f JOIN p ON p.pid = f.return_id AND coalesce(ps, f.source_name) = f.source_name AND coalesce(pl, f.return_line_number) = f.return_line_number GROUP BY 1, 2, 3""")(
     lambda spark, sf: delta.return_corrections(rejected_returns(spark, sf), old_returns(spark, sf)))
-QUERIES["k9_open_return_corrections"] = QUERIES["f13_return_corrections"]
 
 
 def stale_returns(spark, sf):
@@ -227,6 +226,13 @@ def stale_returns(spark, sf):
 
 
 _SR = "SELECT source_name, return_id, return_line_number, CAST(source_order_id AS BIGINT) AS o FROM return_facts WHERE CAST(source_order_id AS BIGINT) % 6 = 1"
+_FOUND_SQL = QUERIES["f13_return_corrections"][1]
+add("k9_open_return_corrections", f"""WITH sr AS (SELECT source_name || ':' || return_id AS source_order_id, return_line_number AS source_line_number, o FROM ({RETURN_SQL} {_SR})), found AS ({_FOUND_SQL})
+SELECT coalesce(f.source_order_id, sr.source_order_id) AS source_order_id, coalesce(f.source_line_number, sr.source_line_number) AS source_line_number,
+  CASE WHEN f.source_name IS NOT NULL THEN 'r1' ELSE 'r0' END AS rejected_run_id, coalesce(f.source_name IS NULL AND o % 4 = 1, false) AS is_resolved
+FROM sr FULL OUTER JOIN found f ON f.source_order_id = sr.source_order_id AND f.source_line_number = sr.source_line_number""")(
+    lambda spark, sf: delta.open_corrections(stale_returns(spark, sf), delta.return_corrections(rejected_returns(spark, sf), old_returns(spark, sf)), "r1", now())
+    .select("source_order_id", "source_line_number", "rejected_run_id", F.col("resolved_at").isNotNull().alias("is_resolved")))
 add("f15_resolve_return_corrections", f"{RSTATES_SQL}, sr AS ({_SR}) SELECT sr.source_name || ':' || sr.return_id AS source_order_id, sr.return_line_number AS source_line_number, CASE WHEN o % 4 = 1 THEN 'r0' WHEN n.quantity_returned IS NOT NULL THEN 'r1' ELSE '' END AS resolved_run_id FROM sr LEFT JOIN new_r n USING ({RKEYS})")(
     lambda spark, sf: delta.resolve_corrections(stale_returns(spark, sf), delta.resolved_by_returns(new_returns(spark, sf)), "r1", now())
     .select("source_order_id", "source_line_number", F.coalesce("resolved_run_id", F.lit("")).alias("resolved_run_id")))

@@ -321,7 +321,7 @@ promotions AS (
 def runs(spark: SparkSession, sf: str) -> DataFrame:
     """Pipeline runs read from the event log: one run per event."""
     k = F.get_json_object("props", "$.k").cast("bigint")
-    e = table(spark, sf, "events").withColumn("k", k)
+    e = spread_small(table(spark, sf, "events")).withColumn("k", k)  # seven structs an event are made of it
     names = list(C.CHANNEL_CODES) + ["PRODUCT_MASTER", "PROMO_MASTER", "RETURN_EVENTS"]
     metric = [
         F.struct(
