@@ -93,7 +93,7 @@ def product_lookup(products: DataFrame, strict: bool = True) -> DataFrame:
     if strict:
         clash = ambiguous_product_keys(products).limit(1).collect()
         if clash:
-            raise ValueError(f"Ambiguous Product Master mapping: {clash[0]['product_match']}")
+            raise ValueError(f"product key {clash[0]['product_match']!r} stands for several products")
     return (
         product_keys(products)
         .groupBy("product_match")
@@ -411,14 +411,14 @@ def sales_contract_violations(data: DataFrame, statuses: bool = False) -> DataFr
 def validate_sales_contract(data: DataFrame) -> DataFrame:
     """Fail when an export drifts from its contract; returns the data otherwise."""
     if list(data.columns) != list(C.CLEAN_SALES_COLUMNS):
-        raise ValueError(f"Clean sales schema must be exactly: {list(C.CLEAN_SALES_COLUMNS)}")
+        raise ValueError(f"clean sales need the columns {list(C.CLEAN_SALES_COLUMNS)}, in this order")
     types = dict(data.dtypes)
     for column, wanted in _CLEAN_TYPES.items():
         if types[column] != wanted:
             raise TypeError(f"{column} must be {wanted}, found {types[column]}")
     broken = sales_contract_violations(data).where("violations > 0").collect()  # at most four rows
     if broken:
-        raise ValueError("Clean sales contract broken: " + ", ".join(r["rule"] for r in broken))
+        raise ValueError("clean sales break rules: " + ", ".join(r["rule"] for r in broken))
     return data
 
 

@@ -73,7 +73,7 @@ def export_clean(results: dict[str, Q.QualityResult], target: str, source_dir: s
 def _refuse_overlap(target: str, source_dir: str) -> None:
     t, s = target.rstrip("/") + "/", source_dir.rstrip("/") + "/"
     if t.startswith(s) or s.startswith(t):
-        raise ValueError("Output must not overlap source directory")
+        raise ValueError("results cannot be written into the landing folder")
 
 
 # --------------------------------------------------------- landing batches
