@@ -52,6 +52,7 @@ class Encoder:
         self.special = [x["content"] for x in spec["added_tokens"]]
         self.chars = _byte_chars()
         self.known: dict[str, bytes] = {}
+        self.cache_words = CACHE_WORDS
         self.clear()
 
     def clear(self) -> None:
@@ -87,7 +88,7 @@ class Encoder:
         """(ids, bounds) of the rows' texts, without an end token."""
         w = Words(texts, fold=False)
         keys, first = np.unique(w.hashes, return_index=True)
-        if len(self.keys) > CACHE_WORDS:
+        if len(self.keys) > self.cache_words:
             self.clear()
         place = np.searchsorted(self.keys, keys)
         have = self.keys[np.minimum(place, len(self.keys) - 1)] == keys if len(self.keys) else np.zeros(len(keys), bool)
@@ -118,9 +119,10 @@ def encoder_of(path: str) -> Encoder:
     return _encoders[path]
 
 
-def _cut(path: str, capacity: int):
+def _cut(path: str, capacity: int, cache_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(path)
+        encoder.cache_words = cache_words
         for batch in by_size(batches, "text", 2 << 20):
             ids, bounds = encoder.rows(batch.column("text"))
             row, start, length, crc, total = [], [], [], [], []
@@ -139,10 +141,10 @@ def _cut(path: str, capacity: int):
     return run
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, cache_words: int = CACHE_WORDS) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens): a document's full sequences and the rest of it."""
     rest = T._parse_datatype_string("start long, length long, ids_crc32 long, doc_tokens long").fields
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(_cut(tokenizer, capacity), T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), *rest]))
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(_cut(tokenizer, capacity, cache_words), T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), *rest]))
 
 
 def grid(capacity: int) -> list[int]:
@@ -310,10 +312,10 @@ def assign(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return dealt.withColumn("offset", F.coalesce(F.sum("length").over(order), F.lit(0)).cast("long")).drop("size", "rank", "low", "high", "each", "base")
 
 
-def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, cache_words: int = CACHE_WORDS) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset) per piece, sequences of at most `capacity` tokens.
 
-    tokenizer: file of a vocabulary whose tokens never span white space. A null or empty text is its end token alone; a text
+    tokenizer: file of a vocabulary whose tokens never span white space. cache_words: words of which a worker keeps the ids. A null or empty text is its end token alone; a text
     of more than `capacity` tokens is cut at its multiples. Repeated rows are packed as often as they are there, a null
     doc_id stays null, other columns are not read, an empty table gives no rows.
     """
@@ -321,7 +323,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
         import public_tokenizers
 
         tokenizer = public_tokenizers.path("word_bpe_49k.json")
-    return assign(pieces(docs, tokenizer, capacity), capacity)
+    return assign(pieces(docs, tokenizer, capacity, cache_words), capacity)
 
 
 def op6_column_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
