@@ -7,10 +7,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm.shared import Words, by_size, components, mix, small_side, spread, stash, stream, table
+from salesloom.llm.shared import Words, by_size, components, mix, sorted_side, spread, stash, stream, table
 
 BUCKETS = 128
 ROWS = 4
@@ -239,9 +240,27 @@ def _in_blocks(members: DataFrame, key: str, blocks: DataFrame) -> DataFrame:
     return b.withColumn("part", F.least("block", "other") * F.col("n_blocks") + F.greatest("block", "other")).withColumn("side", (F.col("block") > F.col("other")).cast("int")).drop("block", "other", "n_blocks")
 
 
-def _sets(k: int):
+def _members(side: Broadcast):
+    """Rows whose rep is among the side's keys, with the super beside it; side: (sorted reps, their supers)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_size(batches, "text"):
+        reps, supers = side.value
+        for batch in batches:
+            rep = batch.column("rep").fill_null(0).to_numpy(zero_copy_only=False)
+            at = np.minimum(np.searchsorted(reps, rep), max(len(reps) - 1, 0))
+            here = np.flatnonzero((reps[at] == rep) & batch.column("rep").is_valid().to_numpy(zero_copy_only=False)) if len(reps) else np.zeros(0, np.int64)
+            if len(here):
+                kept = batch.take(pa.array(here))
+                yield pa.RecordBatch.from_arrays([kept.column("rep"), kept.column("text"), pa.array(supers[at[here]])], ["rep", "text", "super"])
+
+    return run
+
+
+def _sets(k: int, side: Broadcast | None = None):
+    """Registers and sets of the rows; where a side is given, of those among its keys."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_size(batches if side is None else _members(side)(batches), "text"):
             row, h = shingle_sets(Words(batch.column("text"), fold=True), k)
             edge = np.searchsorted(row, np.arange(batch.num_rows + 1))
             regs = registers(row, h, batch.num_rows)
@@ -325,16 +344,17 @@ def _links(full: DataFrame, sized: DataFrame, per_cent: int) -> DataFrame:
     one, and they alone, meet all blocks of their group.
     """
     verify = _verify(per_cent)
-    blocks = stash(sized.groupBy("super").agg(_blocks(F.lit(True)).alias("n_blocks")), "blocks")
+    blocks = stash(sized.groupBy("super").agg(_blocks(F.lit(True)).alias("n_blocks")).where("n_blocks > 1"), "blocks")  # rows / BLOCK_ROWS and shingles / BLOCK_SHINGLES groups at most
+    n_blocks = F.coalesce("n_blocks", F.lit(1).cast("long"))
     block = F.pmod(F.xxhash64("rep"), F.col("n_blocks"))
     parts = F.when(F.col("rep") == F.col("super"), F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)).otherwise(F.array(block))
-    own = full.join(blocks, "super").withColumn("part", F.explode(parts)).withColumn("side", F.lit(0)).drop("n_blocks")
+    own = full.join(F.broadcast(blocks), "super", "left").withColumn("n_blocks", n_blocks).withColumn("part", F.explode(parts)).withColumn("side", F.lit(0)).drop("n_blocks")
     first = stash(own.groupBy("super", "part").applyInPandas(verify, "a long, b long"), "links")
-    wide = blocks.where("n_blocks > 1").select("super")
-    if wide.isEmpty():
+    wide = F.broadcast(blocks.select("super"))
+    if blocks.isEmpty():
         return first
     joined = components(first, "joined").withColumnRenamed("component", "least")
-    state = sized.join(wide, "super").join(joined, "node", "left").select(F.col("node").alias("rep"), "super", "n", (F.coalesce("least", "node") != F.col("super")).alias("rest"))
+    state = sized.join(wide, "super").join(joined.hint("merge"), "node", "left").select(F.col("node").alias("rep"), "super", "n", (F.coalesce("least", "node") != F.col("super")).alias("rest"))
     state = stash(state, "state")
     need = state.groupBy("super").agg(_blocks(F.col("rest")).alias("r"), _blocks(~F.col("rest")).alias("m")).where("r > 0")
     hashed, zero, every = F.xxhash64("rep"), F.lit(0).cast("long"), F.col("r") + F.col("m")
@@ -366,12 +386,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, per_cent: int = 80) -> Da
     dealt = members.repartition("key", "part").sortWithinPartitions("key", "part", "side")
     near = stash(dealt.mapInArrow(_link_buckets(per_cent / 100), "a long, b long"), "near")
     supers = stash(components(near.distinct(), "supers").withColumnRenamed("component", "super"), "super")
-    sized = stash(supers.join(reps.select(F.col("rep").alias("node"), "n"), "node"), "sized")
-    text = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string").alias("text")).join(small_side(supers.withColumnRenamed("node", "rep")), "rep")
-    full = stash(text.mapInArrow(_sets(shingle), "rep long, super long, regs binary, shingles binary"), "sets")
+    sized = stash(supers.hint("merge").join(reps.select(F.col("rep").alias("node"), "n"), "node"), "sized")
+    text = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string").alias("text"))
+    side = sorted_side(supers, "node", "super")
+    text = text if side else text.join(supers.withColumnRenamed("node", "rep").hint("merge"), "rep")
+    full = stash(text.mapInArrow(_sets(shingle, side), "rep long, super long, regs binary, shingles binary"), "sets")
     links = _links(full, sized, per_cent)
     group = stash(components(links, "groups"), "group")
-    classes = reps.select("n", "sig_a", "sig_b", "rep").join(group.withColumnRenamed("node", "rep"), "rep", "left").select("n", "sig_a", "sig_b", F.coalesce("component", "rep").alias("component_id"))
+    classes = reps.select("n", "sig_a", "sig_b", "rep").join(group.withColumnRenamed("node", "rep").hint("merge"), "rep", "left").select("n", "sig_a", "sig_b", F.coalesce("component", "rep").alias("component_id"))
     linked = known.join(classes, ["n", "sig_a", "sig_b"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     alone = sketch.where("doc_id is null or n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
